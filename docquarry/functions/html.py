@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,25 +73,41 @@ def _cell(cell: Column) -> Column:
     return F.concat(F.lit(" "), text, F.repeat(F.lit(" |"), span))
 
 
-def table_to_markdown(html: Column) -> Column:
-    """A Markdown table. Without a header row a blank one is put first."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _table_lines(rows: Column) -> Column:
+    """One Markdown line per table row."""
     cells = lambda row: F.regexp_extract_all(
         row, F.lit(r"(?is)(<t[hd]\b[^>]*>.*?)</t[hd]\s*>"), F.lit(1)
     )
-    lines = F.transform(
+    return F.transform(
         rows, lambda row: F.concat(F.lit("|"), F.array_join(F.transform(cells(row), _cell), ""))
     )
-    first = F.element_at(lines, 1)
-    # Escaped text never holds a cell border, so the borders give the column count.
-    columns = F.length(F.regexp_replace(first, r"[^|]", "")) - 1
+
+
+def _with_rule(lines: Column, headed: Column) -> Column:
+    first = F.get(lines, F.lit(0))
+    # A cell ends in " |", so the borders of the first line give the column count.
+    columns = F.length(first) - F.length(F.replace(first, F.lit("|"), F.lit(""))) - 1
     rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), columns))
     blank = F.concat(F.lit("|"), F.repeat(F.lit("  |"), columns))
-    headed = F.element_at(rows, 1).rlike(r"(?i)<th\b")
-    body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-    whole = F.when(headed, F.concat(F.array(first, rule), body)).otherwise(
+    body = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+    return F.when(headed, F.concat(F.array(first, rule), body)).otherwise(
         F.concat(F.array(blank, rule), lines)
     )
-    return F.when(F.size(rows) > 0, F.array_join(whole, "\n")).otherwise(
-        collapse_whitespace(unescape(F.regexp_replace(html, ANY_TAG, " ")))
+
+
+def table_to_markdown(html: Column) -> Column:
+    """A Markdown table. Without a header row a blank one is put first."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    plain = collapse_whitespace(unescape(F.regexp_replace(html, ANY_TAG, " ")))
+    table = lambda r: _once(
+        _table_lines(r),
+        lambda lines: F.array_join(
+            _with_rule(lines, F.get(r, F.lit(0)).rlike(r"(?i)<th\b")), "\n"
+        ),
     )
+    return _once(rows, lambda r: F.when(F.size(r) > 0, table(r)).otherwise(plain))

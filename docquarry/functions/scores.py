@@ -16,29 +16,28 @@ def token_f1(prediction: Column, truth: Column) -> Column:
     return F.when(common > 0, 2 * (precision * recall) / (precision + recall)).otherwise(0.0)
 
 
-def judge_score(output: Column) -> Column:
-    """A judge's whole reply as a number clamped to [0, 1]; anything else is 0.
+def judge_number(output: Column) -> Column:
+    """A judge's whole reply as a number, or null.
 
     Python's number syntax decides: underscores between digits are fine, a type
-    suffix such as ``0.5d`` is not. Not-a-number counts as 1, as clamping it does.
+    suffix such as ``0.5d`` is not.
     """
     bare = F.lower(F.regexp_replace(output, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
     digits = r"[0-9](_?[0-9])*"
     number = rf"^[+-]?({digits}(\.({digits})?)?|\.{digits})(e[+-]?{digits})?$"
-    named = r"^[+-]?(inf|infinity|nan)$"
-    value = F.when(
-        bare.rlike(number) | bare.rlike(named), F.replace(bare, F.lit("_"), F.lit(""))
-    ).try_cast("double")
-    value = F.when(bare.rlike(r"^[+-]?nan$"), 1.0).otherwise(value)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(value, F.lit(0.0))))
+    named = r"^[+-]?(inf|infinity)$"
+    plain = F.when(bare.rlike(number) | bare.rlike(named), F.replace(bare, F.lit("_"), F.lit("")))
+    return F.when(bare.rlike(r"^[+-]?nan$"), F.lit(float("nan"))).otherwise(plain.try_cast("double"))
+
+
+def judge_score(output: Column) -> Column:
+    """The reply clamped to [0, 1]; anything but a number is 0, not-a-number is 1."""
+    value = F.coalesce(judge_number(output), F.lit(0.0))
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.nanvl(value, F.lit(1.0))))
 
 
 def judge_failed(output: Column) -> Column:
-    """Did the judge return something that is not a number?"""
-    bare = F.trim(F.lower(output))
-    return ~F.coalesce(
-        bare.try_cast("double").isNotNull() | bare.rlike(r"^[+-]?nan$"), F.lit(False)
-    )
+    return judge_number(output).isNull()
 
 
 def share_found(needles: Column, haystack: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.html import table_to_markdown
 from docquarry.functions.text import collapse_whitespace, course_of, has_text
 
-_HTML = F.col("metadata.text_as_html")
+_HTML = "metadata.text_as_html"
 
 
 def clean_elements(elements: DataFrame) -> DataFrame:
@@ -19,30 +19,36 @@ def clean_elements(elements: DataFrame) -> DataFrame:
 
 
 def _is_table():
-    return F.coalesce((F.col("type") == "Table") & (_HTML != ""), F.lit(False))
+    return F.coalesce((F.col("type") == "Table") & (F.col(_HTML) != ""), F.lit(False))
 
 
 def convert_tables(elements: DataFrame) -> DataFrame:
     """Add `markdown_text` to table elements with HTML and change their type."""
     table = _is_table()
     return elements.withColumns({
-        "markdown_text": F.when(table, table_to_markdown(_HTML)),
+        "markdown_text": F.when(table, table_to_markdown(F.col(_HTML))),
         "type": F.when(table, F.lit("markdown_text")).otherwise(F.col("type")),
     })
 
 
-def preferred_text():
-    """Markdown if there is any, else the text; empty counts as missing."""
-    return F.coalesce(F.nullif("markdown_text", F.lit("")), F.nullif("text", F.lit("")))
+def _present(column: str):
+    return F.coalesce(F.col(column) != "", F.lit(False))
 
 
 def normalize_elements(elements: DataFrame) -> DataFrame:
-    """The strict record: type, text, coursename, coursecode (and where it came from)."""
+    """The strict record: type, text, coursename, coursecode (and where it came from).
+
+    Markdown is preferred to text if there is any; empty counts as missing. Elements
+    with neither are dropped.
+    """
     name, code = course_of(F.coalesce(F.col("metadata.filename"), F.lit("")))
-    return elements.select(
-        "source_file", "seq", "type", preferred_text().alias("text"),
+    # Text is asked first: where it is present, the filter needs no Markdown.
+    usable = elements.filter(_present("text") | _present("markdown_text"))
+    text = F.when(_present("markdown_text"), F.col("markdown_text")).otherwise(F.col("text"))
+    return usable.select(
+        "source_file", "seq", "type", text.alias("text"),
         name.alias("coursename"), code.alias("coursecode"),
-    ).filter(F.col("text").isNotNull())
+    )
 
 
 def prepare_elements(elements: DataFrame) -> DataFrame:

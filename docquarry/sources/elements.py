@@ -117,9 +117,10 @@ def elements_from_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return elements, quarantine
 
 
-def samples_from_json(files: DataFrame) -> DataFrame:
+def samples_from_json(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Evaluation samples from JSON arrays; the place in the array is the sample id."""
     item = "struct<question string, ground_truth_answer string, reference_text string, source_file string>"
+    keep = keep or []
     return files.select(
-        F.posexplode(F.from_json("content", f"array<{item}>")).alias("_p", "_s")
-    ).select(F.col("_p").cast("long").alias("sample_id"), "_s.*")
+        *keep, F.posexplode(F.from_json("content", f"array<{item}>")).alias("_p", "_s")
+    ).select(*keep, F.col("_p").cast("long").alias("sample_id"), "_s.*")
