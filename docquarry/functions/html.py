@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docquarry.functions.arrays import once
 from docquarry.functions.text import collapse_whitespace
 
 # Parts whose content is not text of the page.
@@ -63,19 +62,18 @@ def html_blocks(html: Column) -> Column:
     )
 
 
+# Tags inside cells; those of tables, rows and cells stay.
+INLINE_TAG = r"(?i)<(?!/?(table|thead|tbody|tfoot|tr|t[hd])\b)[^>]*>"
+
+
 def _cell(cell: Column) -> Column:
-    text = collapse_whitespace(unescape(F.regexp_replace(cell, ANY_TAG, "")))
-    text = F.regexp_replace(text, r"([*_])", r"\\$1")
-    span = F.coalesce(
+    """A cell with its opening tag, as its text and as many borders as it spans columns."""
+    text = F.trim(F.regexp_replace(cell, r"^<[^>]*>", ""))
+    span = F.when(
+        F.contains(F.lower(cell), F.lit("colspan")),
         F.regexp_extract(cell, r"(?i)^<t[hd][^>]*\bcolspan\s*=\s*[\"']?(\d+)", 1).try_cast("int"),
-        F.lit(1),
     )
-    return F.concat(F.lit(" "), text, F.repeat(F.lit(" |"), span))
-
-
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed a single time, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return F.concat(F.lit(" "), text, F.repeat(F.lit(" |"), F.coalesce(span, F.lit(1))))
 
 
 def _table_lines(rows: Column) -> Column:
@@ -83,9 +81,8 @@ def _table_lines(rows: Column) -> Column:
     cells = lambda row: F.regexp_extract_all(
         row, F.lit(r"(?is)(<t[hd]\b[^>]*>.*?)</t[hd]\s*>"), F.lit(1)
     )
-    return F.transform(
-        rows, lambda row: F.concat(F.lit("|"), F.array_join(F.transform(cells(row), _cell), ""))
-    )
+    line = lambda row: F.array_join(F.transform(cells(row), _cell), "")
+    return F.transform(rows, lambda row: F.concat(F.lit("|"), unescape(line(row))))
 
 
 def _with_rule(lines: Column, headed: Column) -> Column:
@@ -102,12 +99,14 @@ def _with_rule(lines: Column, headed: Column) -> Column:
 
 def table_to_markdown(html: Column) -> Column:
     """A Markdown table. Without a header row a blank one is put first."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    bare = collapse_whitespace(F.regexp_replace(html, INLINE_TAG, ""))
+    bare = F.regexp_replace(bare, r"([*_])", r"\\$1")
+    rows = F.regexp_extract_all(bare, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
     plain = collapse_whitespace(unescape(F.regexp_replace(html, ANY_TAG, " ")))
-    table = lambda r: _once(
+    table = lambda r: once(
         _table_lines(r),
         lambda lines: F.array_join(
             _with_rule(lines, F.get(r, F.lit(0)).rlike(r"(?i)<th\b")), "\n"
         ),
     )
-    return _once(rows, lambda r: F.when(F.size(r) > 0, table(r)).otherwise(plain))
+    return once(rows, lambda r: F.when(F.size(r) > 0, table(r)).otherwise(plain))

@@ -65,9 +65,10 @@ class HashedIdf:
 
     def fit(self, chunks: DataFrame, text: str = "text") -> "HashedIdf":
         group = F.col(self.by) if self.by else F.lit(None).cast("string")
+        # Never empty, so the outer explode gives the same rows and no size filter.
         present = F.array_append(F.array_distinct(slots(F.col(text))), F.lit(_EVERY_CHUNK))
         counts = (
-            chunks.select(group.alias("group"), F.explode(present).alias("slot"))
+            chunks.select(group.alias("group"), F.explode_outer(present).alias("slot"))
             .groupBy("group", "slot")
             .count()
             .toPandas()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquarry.functions.arrays import once, unnest
 from docquarry.functions.text import course_key, has_text, words
 from docquarry.operators.generation import sentences
 from docquarry.operators.prompting import qa_prompt
@@ -88,7 +89,7 @@ def parse_qa(replies: DataFrame, output: str = "output") -> tuple[DataFrame, Dat
     found = F.nullif(F.regexp_extract(output, r"(?s)\[.*\]", 0), F.lit(""))
     parsed = replies.withColumn("_items", F.from_json(found, QA_ITEMS))
     quarantine = parsed.filter(F.col("_items").isNull()).drop("_items")
-    items = parsed.select("source_file", F.posexplode("_items").alias("item", "_qa"))
+    items = unnest(parsed, ["source_file"], F.col("_items"), "item", "_qa")
     question, given, support = (
         F.trim(F.coalesce(F.col(f"_qa.{f}"), F.lit(""))) for f in ("question", "answer", "support")
     )
@@ -123,17 +124,13 @@ def containing_files(passages: DataFrame, documents: DataFrame, anchor: int = 8)
     anchors = passages.select(
         "query_id", F.col("text").alias("passage"), run_hash(words(F.col("text")), F.lit(2)).alias("run")
     )
-    w = F.col("_w")
-    split = documents.select("source_file", F.col("text").alias("document"), words(F.col("text")).alias("_w"))
-    runs = split.filter(F.size(w) >= run).select(
-        "source_file", "document",
-        F.array_distinct(
-            F.transform(F.sequence(F.lit(1), F.size(w) - (run - 1)), lambda i: run_hash(w, i))
-        ).alias("_runs"),
-    )
+    runs = once(words(F.col("text")), lambda w: F.when(
+        F.size(w) >= run,
+        F.transform(F.sequence(F.lit(1), F.size(w) - (run - 1)), lambda i: run_hash(w, i)),
+    ))
     # The text is fetched by name afterwards, so that no run carries a copy of it.
     found = (
-        runs.select("source_file", F.explode("_runs").alias("run"))
+        unnest(documents, ["source_file"], F.array_distinct(runs), "_p", "run")
         .join(anchors, "run")
         .select("query_id", "passage", "source_file")
     )

@@ -14,6 +14,7 @@ ordered by id, so ranks do not depend on how the data is partitioned.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docquarry.functions.vectors import cosine, literal_vector, squared_l2
 from docquarry.operators.encoding import unit_rows
+from docquarry.session import stage
 
 BLOCK_BYTES = 32 * 1024 * 1024
 SCORE_PLACES = 9
@@ -40,24 +43,20 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 class _Block:
     """A bounded set of questions, grouped by the values they filter on."""
 
-    def __init__(self, rows: list, filters: Sequence[str], many: bool, metric: str):
-        self.ids = [r["query_id"] for r in rows]
-        matrix = np.array([r["embedding"] for r in rows], dtype=np.float64)
-        self.dim = matrix.shape[1]
+    def __init__(self, rows: pa.Table, filters: Sequence[str], many: bool, metric: str):
+        self.ids = rows.column("query_id").combine_chunks()
+        lists = rows.column("embedding").combine_chunks()
+        self.dim = len(lists[0])
+        matrix = _matrix(lists, self.dim)
         self.vectors = unit_rows(matrix) if metric == "cosine" else matrix
         self.metric = metric
-        self.filters = list(filters)
         # Which filter columns a question sets -> wanted values -> its place in the block.
         self.groups: dict[tuple, dict[tuple, list[int]]] = {}
-        for i, row in enumerate(rows):
-            choices = [row[f] for f in filters]
-            used = tuple(f for f, v in zip(filters, choices) if v is not None)
-            lists = [v if many else [v] for v in choices if v is not None]
-            wanted: list[tuple] = [()]
-            for options in lists:
-                wanted = [w + (o,) for w in wanted for o in options]
-            for w in wanted:
-                self.groups.setdefault(used, {}).setdefault(w, []).append(i)
+        for i, row in enumerate(rows.select(filters).to_pylist() if filters else [{}] * len(rows)):
+            used = tuple(f for f in filters if row[f] is not None)
+            options = [row[f] if many else [row[f]] for f in used]
+            for wanted in product(*options):
+                self.groups.setdefault(used, {}).setdefault(wanted, []).append(i)
 
     def matches(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows of the batch, questions) that belong together."""
@@ -139,17 +138,28 @@ def _scan(block: _Block, k: int, carry: list[str], batches) -> pa.Table | None:
     return compact()
 
 
-def _question_blocks(questions: DataFrame) -> Iterator[list]:
-    """Questions in blocks of bounded size; the driver holds one block at a time."""
-    block, limit = [], None
-    for row in questions.toLocalIterator():
-        limit = limit or max(1, BLOCK_BYTES // (4 * max(1, len(row["embedding"]))))
-        block.append(row)
-        if len(block) >= limit:
-            yield block
-            block = []
-    if block:
-        yield block
+def _question_blocks(questions: DataFrame) -> Iterator[pa.Table]:
+    """Questions in blocks of bounded size; the driver holds one block at a time.
+
+    The questions are written once, so that reading them in blocks repeats no work.
+    """
+    written = stage(questions, "questions")
+    size = written.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    limit = max(1, BLOCK_BYTES // (4 * max(1, size[1] or 1)))
+    if size[0] == 0:
+        return
+    if size[0] <= limit:
+        yield written.toArrow()
+        return
+    schema = to_arrow_schema(written.schema)
+    rows: list[dict] = []
+    for row in written.toLocalIterator():
+        rows.append(row.asDict())
+        if len(rows) >= limit:
+            yield pa.Table.from_pylist(rows, schema)
+            rows = []
+    if rows:
+        yield pa.Table.from_pylist(rows, schema)
 
 
 def top_k(
@@ -186,10 +196,10 @@ def top_k(
             found = _scan(block.value, k, carry, batches)
             if found is None:
                 return
-            query_type = {pa.table({"x": [block.value.ids[0]]}).schema.field("x").type}.pop()
-            ids = pa.array(block.value.ids, query_type).take(found.column("q").combine_chunks())
+            ids = block.value.ids.take(found.column("q").combine_chunks())
             columns = [ids, found.column("score"), *(found.column(c) for c in ("id", *carry))]
-            yield from pa.table(columns, names=["query_id", "score", "id", *carry]).to_batches()
+            hits = pa.table(columns, names=["query_id", "score", "id", *carry])
+            yield from hits.cast(to_arrow_schema(out)).to_batches()
 
         candidates = points.select(*needed)
         for name in filters:
@@ -207,13 +217,12 @@ def top_k(
     return ranked.select("query_id", "rank", "id", score.alias("score"), *carry)
 
 
-def _reachable(points: DataFrame, name: str, rows: list, many: bool) -> DataFrame:
+def _reachable(points: DataFrame, name: str, rows: pa.Table, many: bool) -> DataFrame:
     """Points that some question of the block can reach, as a filter the scan can use."""
-    wanted = set()
-    for row in rows:
-        if row[name] is None:
-            return points
-        wanted.update(row[name] if many else [row[name]])
+    column = rows.column(name)
+    if column.null_count:
+        return points
+    wanted = set(pc.list_flatten(column).to_pylist() if many else column.to_pylist())
     if len(wanted) > 1000:
         return points
     return points.filter(F.col(name).isin(sorted(wanted)))

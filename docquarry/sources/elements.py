@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.functions.arrays import unnest
 from docquarry.functions.html import html_blocks
 from docquarry.schemas import METADATA
 
@@ -47,9 +48,8 @@ def _element(source_file: Column, seq: Column, kind: Column, text: Column) -> li
 
 def elements_from_text(df: DataFrame, source_file: Column, text: Column, filename: Column) -> DataFrame:
     """One element per line of plain text."""
-    lines = df.select(
-        source_file.alias("_f"), filename.alias("_n"), F.posexplode(F.split(text, "\n")).alias("_p", "_t")
-    )
+    keep = [source_file.alias("_f"), filename.alias("_n")]
+    lines = unnest(df, keep, F.split(text, "\n"), "_p", "_t")
     metadata = F.struct(
         F.col("_n").alias("filename"), F.lit(None).cast("string").alias("text_as_html")
     )
@@ -61,7 +61,7 @@ def elements_from_text(df: DataFrame, source_file: Column, text: Column, filenam
 
 def elements_from_html(df: DataFrame, source_file: Column, html: Column) -> DataFrame:
     """One element per block of a web page; blank blocks keep their place but are left out."""
-    blocks = df.select(source_file.alias("_f"), F.posexplode(html_blocks(html)).alias("_p", "_b"))
+    blocks = unnest(df, [source_file.alias("_f")], html_blocks(html), "_p", "_b")
     metadata = F.struct(
         F.col("_f").alias("filename"), F.lit(None).cast("string").alias("text_as_html")
     )
@@ -100,7 +100,7 @@ def elements_from_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     parsed = files.select("source_file", "content", split_json_array(F.col("content")).alias("_items"))
     quarantine = parsed.filter(F.col("_items").isNull()).select("source_file", "content")
-    items = parsed.select("source_file", F.posexplode("_items").alias("_p", "_raw"))
+    items = unnest(parsed, ["source_file"], F.col("_items"), "_p", "_raw")
     v = F.try_parse_json("_raw")
     metadata = F.struct(
         _string_at(v, "$.metadata.filename").alias("filename"),
@@ -121,6 +121,5 @@ def samples_from_json(files: DataFrame, keep: list[str] | None = None) -> DataFr
     """Evaluation samples from JSON arrays; the place in the array is the sample id."""
     item = "struct<question string, ground_truth_answer string, reference_text string, source_file string>"
     keep = keep or []
-    return files.select(
-        *keep, F.posexplode(F.from_json("content", f"array<{item}>")).alias("_p", "_s")
-    ).select(*keep, F.col("_p").cast("long").alias("sample_id"), "_s.*")
+    items = unnest(files, keep, F.from_json("content", f"array<{item}>"), "_p", "_s")
+    return items.select(*keep, F.col("_p").cast("long").alias("sample_id"), "_s.*")
