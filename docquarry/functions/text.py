@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 # Unicode white space, plus the four separators Python also counts as space.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# The same runs, but for single spaces, which are fine as they are.
+IRREGULAR_WHITESPACE = r"(?U)(?! [^\s\x1c-\x1f])[\s\x1c-\x1f]+"
 NOT_WHITESPACE = r"(?U)[^\s\x1c-\x1f]"
 # Signs cut from the ends of a word before it is compared or hashed.
 EDGE_SIGNS = ".,;:!?()[]\""
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, WHITESPACE, " "))
+    return F.trim(F.regexp_replace(text, IRREGULAR_WHITESPACE, " "))
 
 
 def has_text(text: Column) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -113,18 +114,43 @@ def chunk_documents(
 
 def _windows(tokens: Column, config: ChunkConfig) -> Column:
     last = chunk_count(F.size(tokens), config) - 1
-    window = lambda i: F.slice(tokens, i * config.step + 1, config.chunk_size)
     chunks = F.transform(
         F.sequence(F.lit(0), last),
         lambda i: F.struct(
             F.lit(config.name).alias("config"),
             i.alias("chunk_id"),
-            config.tokenizer.decode(window(i)).alias("text"),
+            F.slice(tokens, i * config.step + 1, config.chunk_size).alias("tokens"),
         ),
     )
     return F.when(last >= 0, chunks)
 
 
+def chunk_documents(
+    documents: DataFrame, source_file: Column, text: Column, configs: list[ChunkConfig]
+) -> DataFrame:
+    """Chunks of whole document texts, for all configurations.
+
+    Each document is cut inside its own row, without a shuffle. Configurations whose
+    tokens are read back the same way share one scan.
+    """
+    scans: dict[Callable, list[ChunkConfig]] = {}
+    for config in configs:
+        scans.setdefault(config.tokenizer.decode, []).append(config)
+    parts = []
+    for decode, shared in scans.items():
+        encoders = list(dict.fromkeys(c.tokenizer.encode for c in shared))
+        column = {e: F.col(f"_tokens{i}") for i, e in enumerate(encoders)}
+        tokens = documents.select(
+            source_file.alias("source_file"),
+            *[e(text).alias(f"_tokens{i}") for i, e in enumerate(encoders)],
+        )
+        windows = [_windows(column[c.tokenizer.encode], c) for c in shared]
+        whole = windows[0] if len(windows) == 1 else F.flatten(F.array_compact(F.array(*windows)))
+        cut = tokens.select("source_file", F.inline(whole))
+        parts.append(cut.select("config", "source_file", "chunk_id", decode(F.col("tokens")).alias("text")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def chunk_elements(elements: DataFrame, config: ChunkConfig) -> DataFrame:
     """Chunks of ordered elements (`source_file, seq, text`), files of any size.
 
@@ -135,15 +161,13 @@ def chunk_elements(elements: DataFrame, config: ChunkConfig) -> DataFrame:
     tokens = elements.select(
         "source_file", "seq", config.tokenizer.encode(F.col("text")).alias("tokens")
     ).withColumn("n", F.size("tokens"))
-    placed = with_start(tokens.filter("n > 0"), "source_file", "seq", "n")
-    lengths = placed.groupBy("source_file").agg(F.sum("n").alias("total"))
+    placed = with_start(tokens.filter("n > 0"), "source_file", "seq", "n", total="total")
     last = chunk_count(F.col("total"), config) - 1
-    lengths = lengths.select("source_file", last.alias("last"))
     size, step = config.chunk_size, config.step
     start, end = F.col("start"), F.col("start") + F.col("n")
     first_touched = F.greatest(F.lit(0), F.floor((start - size) / step) + 1)
-    last_touched = F.least(F.col("last"), F.floor((end - 1) / step))
-    touched = placed.join(lengths, "source_file").select(
+    last_touched = F.least(last, F.floor((end - 1) / step))
+    touched = placed.select(
         "source_file", "start", "tokens",
         F.explode(F.sequence(first_touched, last_touched)).alias("chunk_id"),
     )

@@ -34,8 +34,7 @@ def document_heads(elements: DataFrame, max_chars: int = PROMPT_CHARACTERS) -> D
         (F.length(text) + 1).alias("n"),
     )
     head = (
-        with_start(parts, "source_file", "seq", "n")
-        .filter(F.col("start") < max_chars)
+        with_start(parts, "source_file", "seq", "n", before=max_chars)
         .groupBy("source_file")
         .agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("p"))
         .select(

@@ -60,18 +60,23 @@ class _Block:
 
     def matches(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows of the batch, questions) that belong together."""
-        everything = np.arange(batch.num_rows)
         for used, wanted in self.groups.items():
             if not used:
-                yield everything, np.array(wanted[()])
+                yield np.arange(batch.num_rows), np.array(wanted[()])
                 continue
-            keys = list(zip(*(batch.column(f).to_pylist() for f in used)))
-            rows: dict[tuple, list[int]] = {}
-            for i, key in enumerate(keys):
+            columns = [batch.column(f).dictionary_encode() for f in used]
+            code = np.zeros(batch.num_rows, dtype=np.int64)
+            for column in columns:
+                # Nulls share one code, which stands for no value.
+                part = column.indices.fill_null(len(column.dictionary)).to_numpy(zero_copy_only=False)
+                code = code * (len(column.dictionary) + 1) + part
+            order = np.argsort(code, kind="stable")
+            begins = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0]) if len(order) else []
+            for begin, end in zip(begins, [*begins[1:], len(order)]):
+                rows = order[begin:end]
+                key = tuple(c[int(rows[0])].as_py() for c in columns)
                 if key in wanted:
-                    rows.setdefault(key, []).append(i)
-            for key, found in rows.items():
-                yield np.array(found), np.array(wanted[key])
+                    yield rows, np.array(wanted[key])
 
     def scores(self, points: np.ndarray, questions: np.ndarray) -> np.ndarray:
         """Higher is better, for both metrics."""
@@ -190,13 +195,14 @@ def top_k(
     needed = list(dict.fromkeys(["id", "embedding", *filters, *carry]))
     parts = []
     for rows in _question_blocks(questions.select("query_id", "embedding", *filters)):
-        block = spark.sparkContext.broadcast(_Block(rows, filters, many_values, metric))
+        shared = spark.sparkContext.broadcast(rows)
 
-        def run(batches, block=block):
-            found = _scan(block.value, k, carry, batches)
+        def run(batches, shared=shared):
+            block = _Block(shared.value, filters, many_values, metric)
+            found = _scan(block, k, carry, batches)
             if found is None:
                 return
-            ids = block.value.ids.take(found.column("q").combine_chunks())
+            ids = block.ids.take(found.column("q").combine_chunks())
             columns = [ids, found.column("score"), *(found.column(c) for c in ("id", *carry))]
             hits = pa.table(columns, names=["query_id", "score", "id", *carry])
             yield from hits.cast(to_arrow_schema(out)).to_batches()

@@ -104,7 +104,8 @@ def g5(spark, sf_dir):
 
 
 def normalized(spark, sf_dir):
-    return prepare_elements(line_elements(spark, sf_dir))
+    """The normalised stage, written once because several passes read it."""
+    return stage(prepare_elements(line_elements(spark, sf_dir)), "normalized")
 
 
 _HEADS = r"""clean AS (

@@ -12,7 +12,7 @@ from docquarry.operators.elements import (
     stage_counters,
 )
 from docquarry.plans.inputs import (
-    DOCS, LINES, ORDER_TABLES, SMALL, chunks, chunks_sql, documents, line_elements, order_tables,
+    DOCS, LINES, ITEM_TABLES, SMALL, chunks, chunks_sql, documents, line_elements, item_tables,
     with_ctes,
 )
 from docquarry.plans.registry import query, table
@@ -215,11 +215,11 @@ def p2(spark, sf_dir):
     return clean_elements(line_elements(spark, sf_dir)).select("source_file", "seq", "text")
 
 
-@query("p3_tables_to_markdown", with_ctes(ORDER_TABLES) + """
-SELECT source_file, CASE WHEN type = 'Table' THEN 'markdown_text' ELSE type END AS type,
-  CASE WHEN type = 'Table' THEN markdown END AS markdown_text FROM order_tables""")
+@query("p3_tables_to_markdown", with_ctes(ITEM_TABLES) + """
+SELECT source_file, seq, CASE WHEN type = 'Table' THEN 'markdown_text' ELSE type END AS type,
+  CASE WHEN type = 'Table' THEN markdown END AS markdown_text FROM item_tables""")
 def p3(spark, sf_dir):
-    return convert_tables(order_tables(spark, sf_dir)).select("source_file", "type", "markdown_text")
+    return convert_tables(item_tables(spark, sf_dir)).select("source_file", "seq", "type", "markdown_text")
 
 
 @query("p4_course_of_filename", with_ctes(DOCS) + f"""
@@ -229,10 +229,10 @@ def p4(spark, sf_dir):
     return documents(spark, sf_dir).select("filename", name.alias("coursename"), code.alias("coursecode"))
 
 
-@query("p5_prefer_markdown", with_ctes(ORDER_TABLES) + """
-SELECT source_file, CASE WHEN type = 'Table' THEN markdown ELSE text END AS text FROM order_tables""")
+@query("p5_prefer_markdown", with_ctes(ITEM_TABLES) + """
+SELECT source_file, seq, CASE WHEN type = 'Table' THEN markdown ELSE text END AS text FROM item_tables""")
 def p5(spark, sf_dir):
-    return prepare_elements(order_tables(spark, sf_dir)).select("source_file", "text")
+    return prepare_elements(item_tables(spark, sf_dir)).select("source_file", "seq", "text")
 
 
 @query("p6_normalize", with_ctes(DOCS, LINES) + f"""
@@ -252,9 +252,9 @@ def p7(spark, sf_dir):
     return documents(spark, sf_dir).select("source_file", stage_file_name(parsed).alias("name"))
 
 
-@query("p8_stage_counters", with_ctes(DOCS, LINES, ORDER_TABLES, """raw AS (
+@query("p8_stage_counters", with_ctes(DOCS, LINES, ITEM_TABLES, """raw AS (
   SELECT source_file, text, 'NarrativeText' AS type FROM lines
-  UNION ALL SELECT source_file, text, type FROM order_tables)""") + """
+  UNION ALL SELECT source_file, text, type FROM item_tables)""") + """
 SELECT source_file, count(*) AS processed,
   count(*) FILTER (NOT regexp_matches(text, '\\S')) AS removed,
   count(*) FILTER (regexp_matches(text, '\\S')) AS remaining,
@@ -263,7 +263,7 @@ SELECT source_file, count(*) AS processed,
   0::BIGINT AS skipped
 FROM raw GROUP BY source_file""")
 def p8(spark, sf_dir):
-    return stage_counters(line_elements(spark, sf_dir).unionByName(order_tables(spark, sf_dir)))
+    return stage_counters(line_elements(spark, sf_dir).unionByName(item_tables(spark, sf_dir)))
 
 
 @query("p9_source_filter", with_ctes(DOCS, chunks_sql(SMALL)) + """

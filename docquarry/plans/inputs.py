@@ -40,7 +40,7 @@ DOCS = f"""docs AS (
 
 def line_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elements_from_text(
-        documents(spark, sf_dir), F.col("source_file"), F.col("text"), F.col("filename")
+        spread(documents(spark, sf_dir)), F.col("source_file"), F.col("text"), F.col("filename")
     )
 
 
@@ -50,55 +50,45 @@ LINES = """lines AS (
   FROM docs)"""
 
 
-def order_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One table element per order: its line items as HTML. Open orders have no header row."""
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(
-                    "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q"),
-                    F.concat_ws("_", "l_returnflag", "l_linestatus").alias("f"),
-                ))),
-                lambda r: F.concat(
-                    F.lit("<tr><td>"), r["l_linenumber"].cast("string"),
-                    F.lit("</td><td><b>"), r["l_partkey"].cast("string"),
-                    F.lit("</b></td><td>"), r["q"].cast("string"),
-                    F.lit(" &amp; more</td><td>"), r["f"], F.lit("</td></tr>"),
-                ),
-            ),
-            "",
-        ).alias("rows")
+def item_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table element per line item, its fields as HTML rows. Items that were
+    returned have no header row; accepted ones come as plain text elements."""
+    cells = lambda name, value: F.concat(
+        F.lit(f"<tr><td><b>{name}</b></td>\n<td> "), value, F.lit("</td></tr>")
     )
-    header = "<tr><th>line</th><th>part</th><th>qty</th><th>flag</th></tr>"
-    head = F.when(F.col("o_orderstatus") == "O", "").otherwise(header)
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    joined = orders.join(rows, orders.o_orderkey == rows.l_orderkey)
-    html = F.concat(F.lit("<table>"), head, F.col("rows"), F.lit("</table>"))
-    return joined.select(
-        F.concat(F.lit("order_"), "o_orderkey").alias("source_file"),
-        F.lit(0).cast("long").alias("seq"),
-        F.concat(F.lit("t"), "o_orderkey").alias("element_id"),
-        # Urgent orders' tables come as plain text, so both branches are exercised.
-        F.when(F.col("o_orderpriority").startswith("1"), "NarrativeText").otherwise("Table").alias("type"),
-        F.concat(F.lit("order "), "o_orderkey").alias("text"),
+    returned = F.col("l_returnflag") == "R"
+    header = F.when(returned, "").otherwise("<tr><th>field</th><th>value</th></tr>")
+    html = F.concat(
+        F.lit("<table>"), header,
+        cells("line", F.col("l_linenumber").cast("string")),
+        cells("part", F.col("l_partkey").cast("string")),
+        cells("quantity", F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(" &amp; more"))),
+        cells("status", F.concat_ws("_", "l_returnflag", "l_linestatus")),
+        F.lit("</table>"),
+    )
+    name = F.concat(F.lit("order_"), "l_orderkey")
+    return spread(table(spark, sf_dir, "lineitem")).select(
+        name.alias("source_file"),
+        F.col("l_linenumber").cast("long").alias("seq"),
+        F.concat_ws("#", name, F.col("l_linenumber").cast("string")).alias("element_id"),
+        F.when(F.col("l_returnflag") == "A", "NarrativeText").otherwise("Table").alias("type"),
+        F.concat(F.lit("part "), "l_partkey").alias("text"),
         F.struct(
-            F.concat(F.lit("order_"), "o_orderkey", F.lit(".docx")).alias("filename"),
-            html.alias("text_as_html"),
+            F.concat(name, F.lit(".docx")).alias("filename"), html.alias("text_as_html")
         ).alias("metadata"),
     )
 
 
-ORDER_TABLES = r"""order_tables AS (
-  SELECT 'order_' || o_orderkey AS source_file,
-    CASE WHEN o_orderpriority LIKE '1%' THEN 'NarrativeText' ELSE 'Table' END AS type,
-    'order ' || o_orderkey AS text,
-    CASE WHEN o_orderstatus = 'O' THEN '|  |  |  |  |' || chr(10) || '| --- | --- | --- | --- |'
-      ELSE '| line | part | qty | flag |' || chr(10) || '| --- | --- | --- | --- |' END
-    || string_agg(chr(10) || '| ' || l_linenumber || ' | ' || l_partkey || ' | '
-      || l_quantity::INT || ' & more | ' || l_returnflag || '\_' || l_linestatus || ' |', ''
-      ORDER BY l_linenumber, l_partkey, l_quantity::INT, l_returnflag || '_' || l_linestatus) AS markdown
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-  GROUP BY o_orderkey, o_orderpriority, o_orderstatus)"""
+ITEM_TABLES = r"""item_tables AS (
+  SELECT 'order_' || l_orderkey AS source_file, l_linenumber::BIGINT AS seq,
+    CASE WHEN l_returnflag = 'A' THEN 'NarrativeText' ELSE 'Table' END AS type,
+    'part ' || l_partkey AS text,
+    CASE WHEN l_returnflag = 'R' THEN '|  |  |' ELSE '| field | value |' END || chr(10)
+    || '| --- | --- |' || chr(10) || '| line | ' || l_linenumber || ' |' || chr(10)
+    || '| part | ' || l_partkey || ' |' || chr(10)
+    || '| quantity | ' || l_quantity::INT || ' & more |' || chr(10)
+    || '| status | ' || l_returnflag || '\_' || l_linestatus || ' |' AS markdown
+  FROM lineitem)"""
 
 
 SMALL = ChunkConfig("words_64_8", 64, 8)

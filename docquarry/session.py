@@ -64,6 +64,7 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores for heavy per-row work on an input with few splits.
 
     Inputs of ordinary size already have more splits than cores and stay as they are.
+    Only for scans: asking a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
