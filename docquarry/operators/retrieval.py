@@ -33,6 +33,8 @@ SCORE_PLACES = 9
 # Largest score tile that is computed at once (points x questions).
 _TILE = 4_000_000
 _BUFFER = 200_000
+# Up to so many filter values are listed in a predicate that reaches the scan.
+_LISTED = 1000
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -229,9 +231,12 @@ def _reachable(points: DataFrame, name: str, rows: pa.Table, many: bool) -> Data
     if column.null_count:
         return points
     wanted = set(pc.list_flatten(column).to_pylist() if many else column.to_pylist())
-    if len(wanted) > 1000:
-        return points
-    return points.filter(F.col(name).isin(sorted(wanted)))
+    if len(wanted) <= _LISTED:
+        return points.filter(F.col(name).isin(sorted(wanted)))
+    # No more values than the block has questions, so this side stays small.
+    kind = T.StructType([T.StructField(name, points.schema[name].dataType)])
+    values = points.sparkSession.createDataFrame([(v,) for v in sorted(wanted)], kind)
+    return points.join(F.broadcast(values), name, "left_semi")
 
 
 def top_k_single(

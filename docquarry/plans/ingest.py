@@ -190,6 +190,24 @@ def s8(spark, sf_dir):
     return merge_points(existing, last_write(incoming, F.col("at")).drop("at"))
 
 
+@query("s8_collection_upsert", """
+SELECT vec_id AS id, CASE WHEN label = 0 THEN 100 ELSE label END::INT AS label,
+  round(embedding[1]::DOUBLE, 6) AS first_part FROM embeddings
+UNION ALL
+SELECT vec_id + 1000000, label, round(embedding[1]::DOUBLE, 6) FROM embeddings WHERE label = 1""")
+def s8_collection(spark, sf_dir):
+    """A stored collection: vectors of one label come again with another label, those of
+    a second label come under new ids."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    collection = Collection(spark, scratch_path(spark, "collections"), "vectors")
+    collection.create(vectors.agg(F.max(F.size("embedding"))).first()[0]).upsert(vectors)
+    again = vectors.filter("label = 0").withColumn("label", F.lit(100))
+    fresh = vectors.filter("label = 1").withColumn("id", F.col("id") + 1000000)
+    collection.upsert(again.unionByName(fresh))
+    first = F.round(F.get("embedding", F.lit(0)).cast("double"), 6)
+    return collection.read().select("id", "label", first.alias("first_part"))
+
+
 @query("s9_resume", with_ctes(DOCS) + """
 SELECT source_file, lang FROM docs ANTI JOIN labels USING (doc_id)""")
 def s9(spark, sf_dir):

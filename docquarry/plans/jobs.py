@@ -73,7 +73,7 @@ def index(
         if first is None:
             raise ValueError("no chunks to index")
         dim = first[0]
-    collection.create(dim, metric).upsert(points, replace_sources=replace_sources)
+    collection.create(dim, metric, part_by="source_file").upsert(points, replace_sources=replace_sources)
     return encoder
 
 

@@ -25,7 +25,7 @@ def i1(spark, sf_dir):
     )
     encoder = HashedIdf().fit(chunks(spark, sf_dir))
     collection = Collection(spark, scratch_path(spark, "collections"), "documents")
-    collection.create(encoder.dim)
+    collection.create(encoder.dim, part_by="source_file")
     stream = refresh(arriving, collection, encoder, SMALL, scratch_path(spark, "stream"))
     stream.awaitTermination()
     key = chunk_key(F.col("source_file"), F.col("chunk_id"))

@@ -1,21 +1,25 @@
-"""Keyed vector collections: Parquet versions plus a small append-only log.
-
-An upsert writes a complete new version, then appends one log row, which is what
-makes the version visible; a job that dies before that leaves the old version in
-place. One writer per collection at a time. Where a table format with row-level
-updates is installed, `MERGE INTO` replaces `upsert`.
+"""Keyed vector collections: Parquet parts plus a small append-only log.
+
+Points are stored in a fixed number of parts, by a hash of one column that the id
+determines (the id itself, or the source file of a chunk). An upsert reads and writes
+only the parts its points fall into, in a fresh folder, then appends one log row per
+part; that append is what makes the new version visible. A job that dies before it
+leaves the old version in place. One writer per collection at a time. Where a table
+format with row-level updates is installed, `MERGE INTO` can replace `upsert`.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = ("cosine", "l2")
-_LOG = "version int, path string, dim int, metric string"
+_PART = "collection_part"
+_LOG = "version int, part int, path string, dim int, metric string, part_by string, parts int"
 
 
 def check_dimension(embedding: Column, dim: int) -> Column:
@@ -56,65 +60,117 @@ def merge_points(
     return kept.unionByName(incoming)
 
 
+@dataclass(frozen=True)
+class _State:
+    """What the log says: properties, the newest version, and where each part lies."""
+
+    version: int
+    dim: int
+    metric: str
+    part_by: str
+    parts: int
+    paths: dict[int, str]
+
+
 class Collection:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.name = spark, name
         self.folder = f"{root.rstrip('/')}/{name}"
 
-    def _latest(self):
+    def _state(self) -> _State | None:
         try:
             log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/log")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return log.orderBy(F.desc("version")).first()
+        # At most one row per part, plus one (part -1) for the creation.
+        newest = log.groupBy("part").agg(F.max_by(F.struct(*log.columns), "version").alias("row"))
+        rows = [r.row for r in newest.collect()]
+        if not rows:
+            return None
+        made = next(r for r in rows if r.part == -1)
+        return _State(
+            max(r.version for r in rows), made.dim, made.metric, made.part_by, made.parts,
+            {r.part: r.path for r in rows if r.path},
+        )
+
+    def _known(self) -> _State:
+        state = self._state()
+        if state is None:
+            raise ValueError(f"no collection {self.name}")
+        return state
 
-    def _commit(self, version: int, path: str, dim: int, metric: str) -> None:
-        row = self.spark.createDataFrame([(version, path, dim, metric)], _LOG)
-        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+    def _append(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(
+            f"{self.folder}/log"
+        )
 
     def exists(self) -> bool:
-        return self._latest() is not None
+        return self._state() is not None
+
+    def create(
+        self, dim: int, metric: str = "cosine", part_by: str = "id", parts: int = 64
+    ) -> "Collection":
+        """Create if missing. An existing collection must have the same dimension.
 
-    def create(self, dim: int, metric: str = "cosine") -> "Collection":
-        """Create if missing. An existing collection must have the same dimension."""
+        `part_by` must be a column that the id determines, or an id could live in two
+        parts. More parts make small upserts cheaper and files smaller.
+        """
         if metric not in METRICS:
             raise ValueError(f"unknown metric {metric}")
-        latest = self._latest()
-        if latest is None:
-            self._commit(0, "", dim, metric)
-        elif latest.dim != dim:
-            raise ValueError(f"collection {self.name} holds {latest.dim} dimensions, not {dim}")
+        state = self._state()
+        if state is None:
+            self._append([(0, -1, "", dim, metric, part_by, parts)])
+        elif state.dim != dim:
+            raise ValueError(f"collection {self.name} holds {state.dim} dimensions, not {dim}")
         return self
 
     def properties(self) -> dict:
-        latest = self._latest()
-        if latest is None:
-            raise ValueError(f"no collection {self.name}")
-        return {"dim": latest.dim, "metric": latest.metric, "version": latest.version}
+        state = self._known()
+        return {"dim": state.dim, "metric": state.metric, "version": state.version}
 
     def read(self) -> DataFrame:
-        latest = self._latest()
-        if latest is None or not latest.path:
+        state = self._known()
+        if not state.paths:
             raise ValueError(f"collection {self.name} holds no points")
-        return self.spark.read.parquet(latest.path)
+        return self.spark.read.parquet(*state.paths.values())
 
     def upsert(
         self, points: DataFrame, order: Column | None = None, replace_sources: bool = False
     ) -> "Collection":
         """Insert or replace by id. `order` says which row of an id is the newest."""
-        latest = self._latest()
-        if latest is None:
-            raise ValueError(f"no collection {self.name}")
+        state = self._known()
+        if replace_sources and state.part_by not in ("id", "source_file"):
+            raise ValueError("replace_sources needs parts by id or by source_file")
         if order is not None:
             points = last_write(points, order)
-        points = points.withColumn("embedding", check_dimension(F.col("embedding"), latest.dim))
-        path = f"{self.folder}/points-{uuid.uuid4().hex}"
-        if latest.path:
-            points = merge_points(
-                self.spark.read.parquet(latest.path), points, replace_sources=replace_sources
-            )
-        points.write.parquet(path)
-        self._commit(latest.version + 1, path, latest.dim, latest.metric)
+        part = F.pmod(F.xxhash64(F.col(state.part_by).cast("string")), F.lit(state.parts)).cast("int")
+        batch = f"{self.folder}/points-{uuid.uuid4().hex}"
+        # Written once: the batch is read for the parts it touches and for the merge.
+        points = points.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))
+        arrived = f"{batch}/arrived"
+        points.withColumn(_PART, part).write.parquet(arrived)
+        incoming = self.spark.read.parquet(arrived)
+        touched = [r[0] for r in incoming.select(_PART).distinct().collect()]
+        if replace_sources and state.part_by != "source_file":
+            # The stale points of a source may lie in any part.
+            touched = sorted({*touched, *state.paths})
+        if not touched:
+            return self
+        merged = incoming
+        old = [state.paths[p] for p in touched if p in state.paths]
+        if old:
+            existing = self.spark.read.parquet(*old).withColumn(_PART, part)
+            merged = merge_points(existing, incoming, replace_sources=replace_sources)
+        # Rebalancing gives each part few files and splits a part that is very large.
+        merged.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{batch}/parts")
+        # A part can lose its last point, and then has no files.
+        written = self.spark.read.parquet(f"{batch}/parts").select(_PART).distinct()
+        filled = {r[0] for r in written.collect()}
+        self._append([
+            (state.version + 1, p, f"{batch}/parts/{_PART}={p}" if p in filled else "", state.dim, state.metric,
+             state.part_by, state.parts)
+            for p in touched
+        ])
         return self

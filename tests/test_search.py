@@ -73,6 +73,15 @@ def test_small_blocks_tiles_and_buffers(spark, vectors, monkeypatch):
     assert ranked(top_k(q, p, 5)) == brute(vectors, 5, "cosine", False)
 
 
+def test_many_filter_values(spark, vectors, monkeypatch):
+    """More values than a predicate lists: a semi-join prunes the points."""
+    monkeypatch.setattr(retrieval, "_LISTED", 1)
+    p, q = frames(spark, vectors)
+    q = q.filter("source_file IS NOT NULL")
+    expected = {i: f for i, f in brute(vectors, 5, "cosine", True).items() if i % 2 == 0}
+    assert ranked(top_k(q, p, 5, filters=["source_file"])) == expected
+
+
 def test_k_larger_than_points_and_no_questions(spark, vectors):
     p, q = frames(spark, vectors)
     assert {len(v) for v in ranked(top_k(q, p, 1000)).values()} == {300}
