@@ -201,6 +201,27 @@ def m7(spark, sf_dir):
     return round_measures(evaluate_retrieval(questions(spark, sf_dir), hits))
 
 
+_OWN_FILE_PAIRS = """asked_hits AS (
+  SELECT h.*, b.text AS l FROM hits h JOIN benchmark b ON item_id = split_part(query_id, '@', 1)::BIGINT),
+pair AS (
+  SELECT query_id || ':' || rank AS pid, query_id, rank, l, text AS r FROM asked_hits
+  UNION ALL
+  SELECT query_id || ':0', query_id, 0, any_value(l), string_agg(text, ' ' ORDER BY rank)
+  FROM asked_hits GROUP BY query_id)"""
+
+
+@query("m7_report_own_file", recursive(
+    *FILTERED_HITS, _OWN_FILE_PAIRS, PARTS, EXACT_NEAR_70, _SCORED_QUESTIONS) + """
+SELECT count(*) AS total_samples, round(avg(coalesce(top1, 0)), 6) AS top1_accuracy,
+  round(avg(coalesce(hit, 0)), 6) AS hit_rate_at_k, round(avg(coalesce(rr, 0)), 6) AS mrr,
+  round(avg(coalesce(covered, 0)), 6) AS answer_coverage_at_k
+FROM (SELECT query_id || '@' || source_file AS query_id FROM gold) LEFT JOIN judged USING (query_id)""")
+def m7_own_file(spark, sf_dir):
+    """The report over samples that each look only into their own document."""
+    hits = stage(filtered_hits(spark, sf_dir), "hits")
+    return round_measures(evaluate_retrieval(samples(spark, sf_dir), hits))
+
+
 CONFIGS = [SMALL, COMPARED[0], ChunkConfig("words_512_52", 512, 52)]
 
 
