@@ -167,17 +167,20 @@ def chunk_elements(elements: DataFrame, config: ChunkConfig) -> DataFrame:
     start, end = F.col("start"), F.col("start") + F.col("n")
     first_touched = F.greatest(F.lit(0), F.floor((start - size) / step) + 1)
     last_touched = F.least(last, F.floor((end - 1) / step))
-    touched = placed.select(
-        "source_file", "start", "tokens",
-        F.explode(F.sequence(first_touched, last_touched)).alias("chunk_id"),
-    )
-    window_start = F.col("chunk_id") * step
-    # Places of the shared part, counted from the first token of the element.
-    begin = F.greatest(window_start - start, F.lit(0))
-    stop = window_start + size - start
-    pieces = touched.select(
-        "source_file", F.col("chunk_id").cast("int").alias("chunk_id"), "start",
-        F.slice("tokens", (begin + 1).cast("int"), (stop - begin).cast("int")).alias("piece"),
+
+    def piece(chunk_id: Column) -> Column:
+        # Places of the shared part, counted from the first token of the element.
+        begin = F.greatest(chunk_id * step - start, F.lit(0))
+        stop = chunk_id * step + size - start
+        return F.struct(
+            chunk_id.cast("int").alias("chunk_id"),
+            F.slice("tokens", (begin + 1).cast("int"), (stop - begin).cast("int")).alias("piece"),
+        )
+
+    # The slices are cut before the rows multiply, so no row carries all the tokens.
+    pieces = placed.select(
+        "source_file", "start",
+        F.inline(F.transform(F.sequence(first_touched, last_touched), piece)),
     )
     ordered = F.array_sort(F.collect_list(F.struct("start", "piece")))
     chunk = F.flatten(F.transform(ordered, lambda p: p["piece"]))

@@ -21,11 +21,13 @@ SLOTS = 65536
 _EVERY_CHUNK = -1
 
 
+def slot(term: Column) -> Column:
+    return F.conv(F.substring(F.md5(term), 1, 4), 16, 10).cast("int")
+
+
 def slots(text: Column) -> Column:
     """The slots of a text's terms, in order, with repeats."""
-    return F.transform(
-        terms(text), lambda t: F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int")
-    )
+    return F.transform(terms(text), slot)
 
 
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
@@ -66,7 +68,8 @@ class HashedIdf:
     def fit(self, chunks: DataFrame, text: str = "text") -> "HashedIdf":
         group = F.col(self.by) if self.by else F.lit(None).cast("string")
         # Never empty, so the outer explode gives the same rows and no size filter.
-        present = F.array_append(F.array_distinct(slots(F.col(text))), F.lit(_EVERY_CHUNK))
+        seen = F.array_distinct(F.transform(F.array_distinct(terms(F.col(text))), slot))
+        present = F.array_append(seen, F.lit(_EVERY_CHUNK))
         counts = (
             chunks.select(group.alias("group"), F.explode_outer(present).alias("slot"))
             .groupBy("group", "slot")

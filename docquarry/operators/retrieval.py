@@ -38,6 +38,9 @@ _LISTED = 1000
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    lengths = column.value_lengths()
+    if column.null_count or not pc.all(pc.equal(lengths, dim)).as_py():
+        raise ValueError(f"every vector must have {dim} dimensions")
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return values.reshape(-1, dim)
 
@@ -117,6 +120,8 @@ def _scan(block: _Block, k: int, carry: list[str], batches) -> pa.Table | None:
         return table
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         vectors = _matrix(batch.column("embedding"), block.dim)
         if block.metric == "cosine":
             vectors = unit_rows(vectors)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+
+
 def with_start(
     df: DataFrame, group: str, order: str, length: str, out: str = "start",
     total: str | None = None, before: int | None = None, block: int = 4096,
@@ -19,14 +22,14 @@ def with_start(
     """
     df = df.withColumn("_block", F.floor(F.col(order) / block))
     totals = df.groupBy(group, "_block").agg(F.sum(length).alias("_total"))
-    over_blocks = Window.partitionBy(group).orderBy("_block")
+    over_blocks = Window.partitionBy(group).orderBy("_block").rowsBetween(*_SO_FAR)
     offsets = totals.select(
         group, "_block", (F.sum("_total").over(over_blocks) - F.col("_total")).alias("_offset"),
         *([F.sum("_total").over(Window.partitionBy(group)).alias(total)] if total else []),
     )
     if before is not None:
         offsets = offsets.filter(F.col("_offset") < before)
-    in_block = Window.partitionBy(group, "_block").orderBy(order)
+    in_block = Window.partitionBy(group, "_block").orderBy(order).rowsBetween(*_SO_FAR)
     placed = (
         df.join(offsets, [group, "_block"])
         .withColumn(

@@ -89,6 +89,14 @@ def test_k_larger_than_points_and_no_questions(spark, vectors):
     assert top_k(q, p.limit(0)).count() == 0
 
 
+def test_wrong_vectors_fail(spark, vectors):
+    p, q = frames(spark, vectors)
+    for wrong in (F.lit(None), F.array(F.lit(1.0))):
+        odd = F.when(F.col("id") == "p005", wrong.cast("array<float>")).otherwise(F.col("embedding"))
+        with pytest.raises(Exception, match="must have 8 dimensions"):
+            top_k(q, p.withColumn("embedding", odd)).count()
+
+
 def test_single_question_and_filter(spark, vectors):
     p, _ = frames(spark, vectors)
     for metric in ("cosine", "l2"):
