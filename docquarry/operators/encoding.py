@@ -122,12 +122,13 @@ class UserEncoder:
     """A sentence encoder given as Python code, loaded once per task.
 
     `load` returns a function from a list of texts to a matrix. Texts go to it in
-    batches; each row passes through exactly once, as `mapInArrow` is never repeated
+    batches; `dim` saves a look at the first vector. Each row passes through exactly once, as `mapInArrow` is never repeated
     or moved by the optimiser.
     """
 
     load: Callable[[], Callable[[list[str]], np.ndarray]]
     batch_size: int = 32
+    dim: int | None = None
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
         load, size = self.load, self.batch_size

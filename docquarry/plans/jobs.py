@@ -64,10 +64,9 @@ def index(
     if encoder is None:
         encoder = HashedIdf().fit(chunks)
     points = to_points(encoder.encode(chunks), ids)
-    if isinstance(encoder, HashedIdf):
-        dim = encoder.dim
-    else:
-        # A user's encoder tells its dimension by what it returns; encode once.
+    dim = encoder.dim
+    if dim is None:
+        # The encoder tells its dimension by what it returns; encode once.
         points = stage(points, "points")
         first = points.select(F.size("embedding")).first()
         if first is None:

@@ -139,7 +139,8 @@ class Collection:
     def upsert(
         self, points: DataFrame, order: Column | None = None, replace_sources: bool = False
     ) -> "Collection":
-        """Insert or replace by id. `order` says which row of an id is the newest."""
+        """Insert or replace by id. `order` says which row of an id is the newest;
+        without it, ids must be unique among the incoming points."""
         state = self._known()
         if replace_sources and state.part_by not in ("id", "source_file"):
             raise ValueError("replace_sources needs parts by id or by source_file")
@@ -147,30 +148,33 @@ class Collection:
             points = last_write(points, order)
         part = F.pmod(F.xxhash64(F.col(state.part_by).cast("string")), F.lit(state.parts)).cast("int")
         batch = f"{self.folder}/points-{uuid.uuid4().hex}"
-        # Written once: the batch is read for the parts it touches and for the merge.
         points = points.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))
-        arrived = f"{batch}/arrived"
-        points.withColumn(_PART, part).write.parquet(arrived)
-        incoming = self.spark.read.parquet(arrived)
-        touched = [r[0] for r in incoming.select(_PART).distinct().collect()]
-        if replace_sources and state.part_by != "source_file":
-            # The stale points of a source may lie in any part.
-            touched = sorted({*touched, *state.paths})
-        if not touched:
-            return self
-        merged = incoming
-        old = [state.paths[p] for p in touched if p in state.paths]
-        if old:
-            existing = self.spark.read.parquet(*old).withColumn(_PART, part)
-            merged = merge_points(existing, incoming, replace_sources=replace_sources)
+        merged, touched = points.withColumn(_PART, part), []
+        if state.paths:
+            # Written once: the batch is read for the parts it touches and for the merge.
+            merged.write.parquet(f"{batch}/arrived")
+            merged = self.spark.read.schema(merged.schema).parquet(f"{batch}/arrived")
+            touched = [r[0] for r in merged.select(_PART).distinct().collect()]
+            if touched and replace_sources and state.part_by != "source_file":
+                # The stale points of a source may lie in any part.
+                touched = sorted({*touched, *state.paths})
+            old = [state.paths[p] for p in touched if p in state.paths]
+            if old:
+                existing = self.spark.read.parquet(*old).withColumn(_PART, part)
+                merged = merge_points(existing, merged, replace_sources=replace_sources)
         # Rebalancing gives each part few files and splits a part that is very large.
         merged.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{batch}/parts")
         # A part can lose its last point, and then has no files.
-        written = self.spark.read.parquet(f"{batch}/parts").select(_PART).distinct()
-        filled = {r[0] for r in written.collect()}
+        written = self.spark.read.schema(merged.schema).parquet(f"{batch}/parts").select(_PART)
+        filled = {r[0] for r in written.distinct().collect()}
+        touched = touched or sorted(filled)
+        if not touched:
+            return self
         self._append([
-            (state.version + 1, p, f"{batch}/parts/{_PART}={p}" if p in filled else "", state.dim, state.metric,
-             state.part_by, state.parts)
+            (
+                state.version + 1, p, f"{batch}/parts/{_PART}={p}" if p in filled else "",
+                state.dim, state.metric, state.part_by, state.parts,
+            )
             for p in touched
         ])
         return self

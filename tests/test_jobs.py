@@ -147,6 +147,10 @@ def test_user_encoder_in_a_job(spark, prepared):
     collection = Collection(spark, scratch_path(spark, "jobs"), "own")
     jobs.index(chunks.filter("config = 'a'"), collection, UserEncoder(load))
     assert collection.properties()["dim"] == 3
+    told = Collection(spark, scratch_path(spark, "jobs"), "told")
+    jobs.index(chunks.filter("config = 'a'"), told, UserEncoder(load, dim=3))
+    key = lambda c: {(r.id, *r.embedding) for r in c.read().collect()}
+    assert key(told) == key(collection)
 
 
 def test_refresh(spark, tmp_path):

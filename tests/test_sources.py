@@ -159,6 +159,8 @@ def test_collection(spark):
         Collection(spark, root, "c").create(3)
     with pytest.raises(ValueError):
         collection.read()
+    collection.upsert(points(spark, [("a1", 1, 1)]).limit(0))
+    assert collection.properties()["version"] == 0
     first = points(spark, [("a1", 1, 1), ("a2", 2, 1), ("b1", 3, 1), ("a1", 4, 2)])
     collection.upsert(first, order=F.col("at"))
     assert values(collection) == {"a1": 4, "a2": 2, "b1": 3}
