@@ -16,7 +16,7 @@ from docquarry.operators.retrieval import top_k
 from docquarry.operators.retrieval_metrics import (
     compare, coverage, evaluate_retrieval, fuzzy_matches, per_question, report,
 )
-from docquarry.plans.answering import ANSWERED, ASKED, MODELS, asked, fill_sql
+from docquarry.plans.answering import ANSWERED, MODELS, asked, fill_sql
 from docquarry.plans.inputs import (
     DOCS, GOLD, SMALL, chunks_sql, gold, question_vectors_sql, questions, terms_sql, vectors_sql,
     with_ctes, words_sql,

@@ -13,7 +13,6 @@ from docquarry.plans.inputs import (
     DOCS, SMALL, chunks, chunks_sql, documents, line_elements, vectors_sql, with_ctes, words_sql,
 )
 from docquarry.plans.registry import query, rounded, table
-from docquarry.session import spread
 from docquarry.sources.collections import check_dimension, dimension_report
 
 _COMPARED_SQL = [

@@ -5,7 +5,6 @@ Encoders, tokenizers, generators and judges are plug-ins; each has a native defa
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators.answer_metrics import leaderboard, score_answers
-from docquarry.operators.chunking import ChunkConfig, chunk_documents, chunk_elements
+from docquarry.operators.chunking import ChunkConfig, chunk_elements
 from docquarry.operators.elements import prepare_elements, stage_counters
 from docquarry.operators.encoding import HashedIdf, UserEncoder, to_points
 from docquarry.operators.evalset import (
