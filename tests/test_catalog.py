@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from docquarry.plans import catalog
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
 }
