@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.llm import language_id
 from docquarry.llm.decontamination import contaminated, question_and_answer
-from docquarry.llm.language_id import identify, train
+from docquarry.llm.kneser_ney import classify
 from docquarry.llm.license_scan import license_scan
 from docquarry.llm.packing import pack, token_pieces
 from docquarry.llm.pii import KINDS, digest, find_pii
@@ -60,8 +61,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     learned = docs.filter(~held_out & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    model = train(learned.select("text", "lang"))
-    return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    model = language_id.train(learned.select("text", "lang"))
+    return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
 @query("op8_benchmark_decontamination")
@@ -105,3 +106,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_strings(table(spark, sf_dir, "documents").select("doc_id", "text"), n=400)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return classify(docs, trusted).withColumns({c: F.round(c, 4) for c in ("perplexity", "threshold")})
