@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +35,18 @@ from pyspark.sql import types as T
 from docquarry.llm.common import own, refuse_clash
 from docquarry.session import stage
 
-#: White space before a space or line feed, at the start, or of an unusual kind.
-_UNUSUAL = re.compile(r"\s[ \n]|^\s|[^\S \n]")
+#: White space other than spaces and line feeds.
+_ODD = re.compile(r"[^\S \n]")
+_ODD_ASCII = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def _plainly_spaced(text: str) -> bool:
+    """Single spaces and line feeds, each after another character, and no other white space."""
+    if text[:1] in (" ", "\n") or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return False
+    if text.isascii():
+        return len(text.encode().translate(None, _ODD_ASCII)) == len(text)
+    return not _ODD.search(text)
 
 
 class Encoder:
@@ -44,41 +55,72 @@ class Encoder:
     Byte-level BPE works inside pieces that begin at a space or line feed after another
     character, so texts whose white space is single spaces and line feeds are looked up
     word by word; words not yet known are encoded in a batch. Other texts are encoded
-    directly. The table of known words is emptied when full.
+    directly. The table of known words has two generations: when the younger is full, it
+    becomes the older, and words still in use move on.
     """
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        # One call encodes many words with a special token between them, and is cut there.
+        self.marked = Tokenizer.from_file(path)
+        self.mark = next(((i, t.content) for i, t in self.marked.get_added_tokens_decoder().items() if t.special), None)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.words = words
 
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The worker's encoder, which outlives its tasks."""
+        if (cls, path) not in _encoders:
+            _encoders[cls, path] = cls(path)
+        return _encoders[cls, path]
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
+
+    def _encode_words(self, given: list[str]) -> list[bytes]:
+        if self.mark is None or any(self.mark[1] in w for w in given):
+            return self._encode(given)
+        ids = np.array(self.marked.encode_batch_fast([self.mark[1].join(given)], add_special_tokens=False)[0].ids, dtype="<u4")
+        raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark[0])).tolist()
+        return [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+
+    def cut(self, text: str) -> list[str] | None:
+        """A text's words as keys of the table, if it can be looked up by words."""
+        if not _plainly_spaced(text):
+            return None
+        # The first word stands alone; a line feed is part of its word, a space goes before.
+        return ("\0" + text.replace("\n", " \n")).split(" ")
+
+    def learn(self, keys: list[list[str] | None]) -> None:
+        if len(self.known) > self.words:
+            self.known, self.older = {}, self.known
+        missing = set().union(*(k for k in keys if k)).difference(self.known)
+        new = []
+        for w in missing:
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                new.append(w)
+        if new:
+            self.known.update(zip(new, self._encode_words(
+                [w[1:] if w[:1] == "\0" else w if w[:1] == "\n" else " " + w for w in new])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > self.words:
-            self.known = {}
-        known, cut, missing = self.known, [], set()
-        for text in texts:
-            if _UNUSUAL.search(text):
-                cut.append(None)
-                continue
-            first, *rest = text.replace("\n", " \n").split(" ")
-            cut.append(["\0" + first, *rest])
-            missing.update(w for w in cut[-1] if w not in known)
-        if missing:
-            new = list(missing)
-            # The first word of a text stands alone, line feeds go before words, spaces too.
-            known.update(zip(new, self._encode([w[1:] if w[:1] == "\0" else w if w[:1] == "\n" else " " + w for w in new])))
-        get = known.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        keys = [self.cut(t) for t in texts]
+        self.learn(keys)
+        get = self.known.__getitem__
+        return [self._encode([t])[0] if k is None else b"".join(map(get, k)) for t, k in zip(texts, keys)]
+
+
+_encoders: dict = {}
 
 
 def token_pieces(docs: DataFrame, path: str, limit: int = 1024, closing: int = 2) -> DataFrame:
@@ -94,7 +136,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int = 1024, closing: int = 2
     end = np.array([closing], dtype="<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = Encoder.of(path)
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 some = batch.slice(begin, 256)

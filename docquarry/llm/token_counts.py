@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.llm.common import let, running_totals
-from docquarry.llm.packing import _UNUSUAL, Encoder
+from docquarry.llm.packing import Encoder
 
 SECTION = T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.IntegerType()),
                         T.StructField("end", T.IntegerType())])
@@ -35,19 +35,17 @@ class SpanEncoder(Encoder):
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.offsets, dtype="<i4").reshape(-1, 2).tobytes() for x in found]
 
-    def spans(self, text: str) -> np.ndarray:
+    def _encode_words(self, given: list[str]) -> list[bytes]:
+        return self._encode(given)
+
+    def spans(self, text: str, keys: list[str] | None) -> np.ndarray:
         """(start, end) of each token, in characters."""
-        if _UNUSUAL.search(text):
+        if keys is None:
             return np.frombuffer(self._encode([text])[0], dtype="<i4").reshape(-1, 2)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        keys = ["\0" + first, *rest]
-        missing = list({w for w in keys if w not in self.known})
-        if missing:
-            given = [w[1:] if w[:1] == "\0" else w if w[:1] == "\n" else " " + w for w in missing]
-            self.known.update(zip(missing, self._encode(given)))
         parts = [self.known[w] for w in keys]
-        # A word is preceded by its space; a line feed is part of its word, the first has neither.
-        lengths = np.array([len(w) - 1 if w[:1] == "\0" else len(w) if w[:1] == "\n" else len(w) + 1 for w in keys])
+        # A word's own space comes before it; a line feed is in its word, the first has neither.
+        lengths = np.array([len(w) if w[:1] == "\n" else len(w) + 1 for w in keys])
+        lengths[0] = len(keys[0]) - 1
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         counts = np.array([len(p) // 8 for p in parts])
         return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 2) + np.repeat(starts, counts)[:, None]
@@ -87,16 +85,17 @@ def section_counts(docs: DataFrame, sections: Column, path: str) -> DataFrame:
     types = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
 
     def run(batches):
-        encoder = SpanEncoder(path, words=150_000)
+        encoder = SpanEncoder.of(path)
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 some = batch.slice(begin, 256)
                 rows, out = [], [[] for _ in types]
-                for i, (text, parts) in enumerate(zip(some.column("text").to_pylist(), some.column("_sections").to_pylist())):
-                    if len(encoder.known) > encoder.words:
-                        encoder.known = {}
+                texts = [t or "" for t in some.column("text").to_pylist()]
+                keys = [encoder.cut(t) for t in texts]
+                encoder.learn(keys)
+                for i, (text, key, parts) in enumerate(zip(texts, keys, some.column("_sections").to_pylist())):
                     parts = sorted((p for p in parts or () if p), key=lambda p: (p["start"], p["end"]))
-                    spans = encoder.spans(text) if text else np.empty((0, 2), dtype=np.int64)
+                    spans = encoder.spans(text, key) if text else np.empty((0, 2), dtype=np.int64)
                     starts = np.array([p["start"] for p in parts], dtype=np.int64)
                     ends = np.array([p["end"] for p in parts], dtype=np.int64)
                     owned, crossed = allot(spans, starts, ends)
