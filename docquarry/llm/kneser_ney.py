@@ -143,9 +143,9 @@ class Shard:
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         return np.where(known[at] == keys, values[at], default)
 
-    def score(self, text: str, last: np.ndarray | None) -> tuple[float, int]:
-        """(sum of log probabilities, positions) where the character before is in `last`
-        (a sorted array of code points; none: everywhere)."""
+    def score(self, text: str, number: int = 0, shards: int = 1) -> tuple[float, int]:
+        """(sum of log probabilities, positions) where the character before belongs to the
+        shard of that number."""
         points = np.frombuffer((_START * (ORDER - 1) + text.lower()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
         codes = np.where(self.points[at] == points, at + 1, 0).astype(np.uint64)
@@ -154,8 +154,7 @@ class Shard:
             shifted = np.concatenate((np.zeros(1, np.uint64), keys[-1][:-1])) if k > 1 else keys[0]
             keys.append(shifted * self.base + codes)
         where = np.arange(ORDER - 1, len(points))
-        if last is not None:
-            where = where[np.isin(points[where - 1], last)]
+        where = where[points[where - 1] % np.uint32(shards) == number]
         whole, times = np.unique(keys[ORDER][where], return_counts=True)
         # The shorter keys are the last digits of the whole one; code 0 is an unknown character.
         total = np.zeros(len(whole))
@@ -199,10 +198,8 @@ def perplexities(docs: DataFrame, model: DataFrame, key: str) -> DataFrame:
 
         def run(batches, shared=shared, number=number, n=n):
             shards = shared.value
-            last = {lang: None if n == 1 else np.array(
-                [x for x in s.points.tolist() if x % n == number], dtype=np.uint32) for lang, s in shards.items()}
             for batch in batches:
-                out = [(k, *shards[lang].score(text, last[lang])) for k, lang, text in zip(
+                out = [(k, *shards[lang].score(text, number, n)) for k, lang, text in zip(
                     *(batch.column(c).to_pylist() for c in (key, "lang", "text"))) if text and lang in shards]
                 if out:
                     yield pa.RecordBatch.from_arrays(
