@@ -18,6 +18,11 @@ def collapse_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, IRREGULAR_WHITESPACE, " "))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def has_text(text: Column) -> Column:
     """Is there any character that is not white space? False for null."""
     return F.coalesce(text.rlike(NOT_WHITESPACE), F.lit(False))
@@ -50,8 +55,8 @@ def course_of(filename: Column) -> tuple[Column, Column]:
     code = F.substring(filename, split_at + 1, F.length(filename))
     for extension in (".pdf", ".docx", ".doc"):
         code = F.replace(code, F.lit(extension), F.lit(""))
-    name = F.when(has_code, F.trim(F.substring(filename, F.lit(1), split_at - 1))).otherwise(filename)
-    return name, F.when(has_code, F.trim(code))
+    name = F.when(has_code, strip(F.substring(filename, F.lit(1), split_at - 1))).otherwise(filename)
+    return name, F.when(has_code, strip(code))
 
 
 def stage_file_name(name: Column) -> Column:

@@ -93,25 +93,6 @@ def chunk_count(tokens: Column, config: ChunkConfig) -> Column:
     return F.when(tokens == 0, 0).when(tokens < config.chunk_size, 1).otherwise(full).cast("int")
 
 
-def chunk_documents(
-    documents: DataFrame, source_file: Column, text: Column, configs: list[ChunkConfig]
-) -> DataFrame:
-    """Chunks of whole document texts, for all configurations in one scan.
-
-    Each document is cut inside its own row, without a shuffle. The decoder runs
-    inside the row too, so it must be native; for a user tokenizer, see
-    `chunk_elements`.
-    """
-    tokenizers = list(dict.fromkeys(c.tokenizer for c in configs))
-    column = {t: f"_tokens{i}" for i, t in enumerate(tokenizers)}
-    tokens = documents.select(
-        source_file.alias("source_file"), *[t.encode(text).alias(column[t]) for t in tokenizers]
-    )
-    windows = [_windows(F.col(column[c.tokenizer]), c) for c in configs]
-    whole = windows[0] if len(windows) == 1 else F.flatten(F.array_compact(F.array(*windows)))
-    return tokens.select("source_file", F.inline(whole))
-
-
 def _windows(tokens: Column, config: ChunkConfig) -> Column:
     last = chunk_count(F.size(tokens), config) - 1
     chunks = F.transform(

@@ -86,8 +86,10 @@ class HashedIdf:
         return self
 
     def _weights_of(self, group: str | None) -> np.ndarray:
+        if not self.weights:
+            raise ValueError("the encoder has not been fitted")
         # A configuration without chunks has no frequencies: every term counts alike.
-        return self.weights.get(group, np.zeros(SLOTS))
+        return self.weights.get(group, np.ones(SLOTS))
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
         dim = self.dim

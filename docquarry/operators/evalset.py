@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.functions.arrays import once, unnest
-from docquarry.functions.text import course_key, has_text, words
+from docquarry.functions.text import course_key, has_text, strip, words
 from docquarry.operators.generation import sentences
 from docquarry.operators.prompting import qa_prompt
 from docquarry.operators.sequence import with_start
@@ -28,7 +28,7 @@ def document_heads(elements: DataFrame, max_chars: int = PROMPT_CHARACTERS) -> D
     elements that begin inside the head are gathered, so a group holds at most
     `max_chars` characters plus one element, however long the file is.
     """
-    text = F.regexp_replace("text", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    text = strip(F.col("text"))
     parts = elements.filter(has_text(F.col("text"))).select(
         "source_file", "seq", F.substring(text, 1, max_chars).alias("text"),
         (F.length(text) + 1).alias("n"),
@@ -43,7 +43,7 @@ def document_heads(elements: DataFrame, max_chars: int = PROMPT_CHARACTERS) -> D
             .alias("head"),
         )
     )
-    name, code = F.trim("coursename"), F.trim("coursecode")
+    name, code = strip(F.col("coursename")), strip(F.col("coursecode"))
     facts = elements.groupBy("source_file").agg(
         F.min_by(F.when(name != "", name), F.when(name != "", F.col("seq"))).alias("coursename"),
         F.min_by(F.when(code != "", code), F.when(code != "", F.col("seq"))).alias("coursecode"),
@@ -90,7 +90,7 @@ def parse_qa(replies: DataFrame, output: str = "output") -> tuple[DataFrame, Dat
     quarantine = parsed.filter(F.col("_items").isNull()).drop("_items")
     items = unnest(parsed, ["source_file"], F.col("_items"), "item", "_qa")
     question, given, support = (
-        F.trim(F.coalesce(F.col(f"_qa.{f}"), F.lit(""))) for f in ("question", "answer", "support")
+        strip(F.coalesce(F.col(f"_qa.{f}"), F.lit(""))) for f in ("question", "answer", "support")
     )
     samples = items.select(
         "source_file", "item",

@@ -123,6 +123,14 @@ def _scan(block: _Block, k: int, carry: list[str], batches) -> pa.Table | None:
         if not batch.num_rows:
             continue
         vectors = _matrix(batch.column("embedding"), block.dim)
+        # A vector that is not finite has no distance to anything.
+        finite = np.isfinite(vectors).all(axis=1)
+        if not finite.all():
+            batch, vectors = batch.filter(pa.array(finite)), vectors[finite]
+            if not batch.num_rows:
+                continue
+        place_of_id = np.empty(batch.num_rows, dtype=np.int64)
+        place_of_id[pc.sort_indices(batch.column("id")).to_numpy()] = np.arange(batch.num_rows)
         if block.metric == "cosine":
             vectors = unit_rows(vectors)
         for rows, questions in block.matches(batch):
@@ -135,10 +143,14 @@ def _scan(block: _Block, k: int, carry: list[str], batches) -> pa.Table | None:
                 if len(rows) > k:
                     kth = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
                     lowest = np.maximum(lowest, kth)
-                # Equal scores stay in: the id decides among them later.
                 at, of = np.nonzero(scores >= lowest)
                 if not len(at):
                     continue
+                # Of many equal scores the first ids stay, before any text is copied.
+                order = np.lexsort((place_of_id[rows[at]], -scores[at, of], of))
+                begins = np.searchsorted(of[order], of[order])
+                order = order[np.arange(len(order)) - begins < k]
+                at, of = at[order], of[order]
                 picked = batch.select(["id", *carry]).take(pa.array(rows[at]))
                 table = pa.Table.from_batches([picked])
                 table = table.append_column("q", pa.array(some[of]))

@@ -16,9 +16,9 @@ from docquarry.operators.chunking import ChunkConfig, chunk_elements
 from docquarry.operators.elements import prepare_elements, stage_counters
 from docquarry.operators.encoding import HashedIdf, UserEncoder, to_points
 from docquarry.operators.evalset import (
-    document_heads, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
+    PROMPT_CHARACTERS, document_heads, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
 )
-from docquarry.operators.generation import UserGenerator, answer, with_models
+from docquarry.operators.generation import NATIVE_MODELS, UserGenerator, answer, with_models
 from docquarry.operators.prompting import context_of
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k
 from docquarry.operators import retrieval_metrics
@@ -103,6 +103,9 @@ def ask(
 
     A question without hits is asked with an empty context.
     """
+    unknown = set(models) - set(NATIVE_MODELS) - set(generators or {})
+    if unknown:
+        raise ValueError(f"no such models: {sorted(unknown)}")
     found = hits_as_array(retriever(questions, k))
     rows = questions.join(found, "query_id", "left").withColumn(
         "context", context_of(F.coalesce("texts", F.array().cast("array<string>")))
@@ -113,8 +116,10 @@ def ask(
 def make_evaluation_set(
     elements: DataFrame, num_files: int = 5, samples_per_file: int = 5,
     generator: UserGenerator | None = None, seed: str = "0", progress: str | None = None,
+    max_chars: int = PROMPT_CHARACTERS,
 ) -> DataFrame:
-    """Samples (question, ground_truth_answer, reference_text, source_file) of sampled files.
+    """Samples (sample_id, question, ground_truth_answer, reference_text, source_file) of
+    sampled files, as the evaluators take them. Replies are asked for once and written.
 
     With `progress`, finished files are kept in that table, and a rerun skips them.
     A file whose call failed is not finished.
@@ -135,18 +140,19 @@ def make_evaluation_set(
         kept = spark.read.schema(schema).parquet(progress)
         files = remaining(files, kept.select("source_file").distinct())
     prompts = qa_prompts(
-        document_heads(elements.join(files, "source_file", "left_semi")), samples_per_file
+        document_heads(elements.join(files, "source_file", "left_semi"), max_chars), samples_per_file
     )
     if generator is None:
         replies = prompts.withColumn("output", native_qa_output(F.col("head"), samples_per_file))
     else:
         replied = generator.run(prompts, "prompt", "reply")
         replies = replied.filter(F.col("reply.error").isNull()).withColumn("output", F.col("reply.answer"))
-    samples, _ = parse_qa(replies.select("source_file", "output"))
+    samples, _ = parse_qa(stage(replies.select("source_file", "output"), "replies"))
+    sample_id = F.concat_ws("#", "source_file", F.col("item").cast("string")).alias("sample_id")
     if progress:
         append_progress(samples.select("source_file", "item", "question", "ground_truth_answer", "reference_text"), progress)
-        return spark.read.schema(schema).parquet(progress)
-    return samples
+        return spark.read.schema(schema).parquet(progress).select(sample_id, "*")
+    return samples.select(sample_id, "*")
 
 
 def _questions(samples: DataFrame, max_samples: int | None) -> DataFrame:

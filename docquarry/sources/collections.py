@@ -124,6 +124,10 @@ class Collection:
             self._append([(0, -1, "", dim, metric, part_by, parts)])
         elif state.dim != dim:
             raise ValueError(f"collection {self.name} holds {state.dim} dimensions, not {dim}")
+        elif (state.metric, state.part_by, state.parts) != (metric, part_by, parts):
+            raise ValueError(
+                f"collection {self.name} was made for {state.metric}, {state.parts} parts by {state.part_by}"
+            )
         return self
 
     def properties(self) -> dict:
@@ -140,12 +144,12 @@ class Collection:
         self, points: DataFrame, order: Column | None = None, replace_sources: bool = False
     ) -> "Collection":
         """Insert or replace by id. `order` says which row of an id is the newest;
-        without it, ids must be unique among the incoming points."""
+        without it, one of them is kept."""
         state = self._known()
         if replace_sources and state.part_by not in ("id", "source_file"):
             raise ValueError("replace_sources needs parts by id or by source_file")
-        if order is not None:
-            points = last_write(points, order)
+        # One row per id is stored; without an order, equal inputs still give equal results.
+        points = last_write(points, F.xxhash64(*points.columns) if order is None else order)
         part = F.pmod(F.xxhash64(F.col(state.part_by).cast("string")), F.lit(state.parts)).cast("int")
         batch = f"{self.folder}/points-{uuid.uuid4().hex}"
         points = points.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))

@@ -83,7 +83,7 @@ def read_json_files(spark: SparkSession, folder: str) -> DataFrame:
 def split_json_array(content: Column) -> Column:
     """Raw items of a JSON array in order; null when the text is not one array."""
     items = F.from_json(content, "array<string>")
-    return F.when(F.rtrim(content).endswith("]"), items)
+    return F.when(F.btrim(content, F.lit(" \t\r\n")).endswith("]"), items)
 
 
 def _string_at(item: Column, path: str) -> Column:

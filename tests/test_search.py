@@ -199,3 +199,19 @@ def test_user_encoder_batches(spark):
     assert all(np.hypot(*r.embedding) == pytest.approx(1) for r in rows)
     assert rows[0].embedding == pytest.approx(np.array([1, 4]) / np.hypot(1, 4))
     assert rows[-1].embedding == pytest.approx(np.array([11, 3]) / np.hypot(11, 3))
+
+
+def test_vectors_that_are_not_finite_hide_no_hits(spark):
+    rows = [(f"p{i}", [float(i), 1.0]) for i in range(10)] + [(f"n{i}", [float("nan"), 0.0]) for i in range(3)]
+    points = spark.createDataFrame(rows, "id string, embedding array<float>").coalesce(1)
+    questions = spark.createDataFrame([("q", [0.0, 1.0])], "query_id string, embedding array<float>")
+    hits = top_k(questions, points, 3, "l2").orderBy("rank").collect()
+    assert [h["id"] for h in hits] == ["p0", "p1", "p2"]
+
+
+def test_many_equal_vectors_keep_the_first_ids(spark):
+    points = spark.range(3000).selectExpr("lpad(id, 5, '0') AS id", "array(1f, 0f) AS embedding", "repeat('x', 500) AS text")
+    questions = spark.range(200).selectExpr("id AS query_id", "array(1f, 0f) AS embedding")
+    hits = top_k(questions, points, 2, carry=["text"])
+    assert {(h["rank"], h["id"]) for h in hits.select("rank", "id").collect()} == {(1, "00000"), (2, "00001")}
+    assert hits.count() == 400
