@@ -33,8 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART = 64
-BLOCK = 16
+BLOCK = 8
 SLICE = 4096
+#: Parts' lengths of text that are looked at together, which bounds the memory of a long text.
+STRETCH = 64
 K1, B = 1.2, 0.75
 _SHINGLE = 5
 _WORD = re.compile(r"\w+")
@@ -84,7 +86,6 @@ class Index:
         rows, columns, shares = np.array(rows, int), np.array(columns, int), np.array(shares)
         self.block_max = np.zeros((len(self.terms), -(-n // BLOCK)), dtype=np.float32)
         np.maximum.at(self.block_max, (columns, rows // BLOCK), shares.astype(np.float32))
-        self.term_max = self.block_max.max(axis=1, initial=0)
         # Postings of each block: term, part within the block, share.
         order = np.argsort(rows // BLOCK, kind="stable")
         bounds = np.searchsorted((rows // BLOCK)[order], np.arange(self.block_max.shape[1] + 1))
@@ -101,17 +102,25 @@ class Index:
         best: dict[int, float] = {}
         if not len(at):
             return best
-        known = ids[at]
         # The maxima are 4-byte floats; the slack covers their rounding.
         floor = self.threshold - 1e-4
-        begins = np.arange(0, max(1, len(found) - PART), PART)
-        froms, tos = np.searchsorted(at, begins), np.searchsorted(at, begins + 2 * PART)
-        sums = np.concatenate(([0.0], np.cumsum(self.term_max[known], dtype=np.float64)))
-        for k in np.flatnonzero(sums[tos] - sums[froms] >= floor):
-            terms = np.unique(known[froms[k]:tos[k]])
-            for block in np.flatnonzero(self.block_max[terms].sum(axis=0) >= floor):
+        in_passage = np.zeros(len(self.terms), dtype=bool)
+        # Stretches of a long text overlap by a part, so that each passage lies in one.
+        for begin in range(0, max(1, len(found) - PART), STRETCH * PART):
+            some = at[np.searchsorted(at, begin):np.searchsorted(at, begin + (STRETCH + 1) * PART)]
+            if not len(some):
+                continue
+            terms, places = np.unique(ids[some], return_inverse=True)
+            present = np.zeros((STRETCH + 2, len(terms)), dtype=np.float32)
+            present[(some - begin) // PART, places] = 1
+            passages = np.maximum(present[:-1], present[1:])[:(some[-1] - begin) // PART + 1]
+            # Each term of a passage counts once, with its maximum in each block.
+            for k, block in np.argwhere(passages @ self.block_max[terms] >= floor):
                 columns, rows, shares = self.postings[block]
-                hit = np.isin(columns, terms, kind="table")
+                held = terms[passages[k] > 0]
+                in_passage[held] = True
+                hit = in_passage[columns]
+                in_passage[held] = False
                 scores = np.bincount(rows[hit], weights=shares[hit], minlength=BLOCK)
                 for row in np.flatnonzero(scores >= self.threshold - 1e-9):
                     number = int(self.item_of[block * BLOCK + row])
