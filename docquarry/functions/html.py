@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,24 +24,28 @@ ANY_TAG = r"<[^>]*>"
 # Control characters that carry the element kind past the tag removal.
 HEADING_MARK = "\u0001"
 ITEM_MARK = "\u0002"
-# Entity -> character. The ampersand is last, so that "&amp;lt;" gives "&lt;".
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&amp;", "&"),
-]
+# The public HTML entities; a hard space is an ordinary one here.
+_NAMED = json.dumps({f"&{name}": c for name, c in html5.items() if name.endswith(";")} | {"&nbsp;": " "})
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _character(entity: Column) -> Column:
+    """What an entity stands for; unknown ones stay as they are."""
+    named = F.element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), entity)
+    digits = F.regexp_extract(entity, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    base = F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+    code = F.when(entity.startswith("&#"), base.try_cast("int"))
+    good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numbered = F.when(code == 160, " ").when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return F.coalesce(named, numbered, entity)
 
 
 def unescape(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Named and numeric entities as characters, in one pass: "&amp;lt;" gives "&lt;"."""
+    joined = lambda gaps: F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(
+        F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), _character),
+        F.slice(gaps, F.lit(2), F.size(gaps) - 1), lambda c, gap: F.concat(c, gap)), ""))
+    return F.when(F.contains(text, F.lit("&")), once(F.split(text, _ENTITY), joined)).otherwise(text)
 
 
 def html_blocks(html: Column) -> Column:
@@ -66,47 +73,58 @@ def html_blocks(html: Column) -> Column:
 INLINE_TAG = r"(?i)<(?!/?(table|thead|tbody|tfoot|tr|t[hd])\b)[^>]*>"
 
 
-def _cell(cell: Column) -> Column:
-    """A cell with its opening tag, as its text and as many borders as it spans columns."""
-    text = F.trim(F.regexp_replace(cell, r"^<[^>]*>", ""))
-    span = F.when(
+# End tags of rows and cells may be missing: the next one ends them too.
+ROW = r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|(?=<tr\b|</?(?:table|thead|tbody|tfoot)\b)|$)"
+CELL = r"(?is)(<t[hd]\b[^>]*>.*?)(?:</t[hd]\s*>|(?=<t[hd]\b)|$)"
+
+
+def _cells(row: Column) -> Column:
+    return F.regexp_extract_all(row, F.lit(CELL), F.lit(1))
+
+
+def _span(cell: Column) -> Column:
+    """How many columns a cell takes."""
+    named = F.when(
         F.contains(F.lower(cell), F.lit("colspan")),
         F.regexp_extract(cell, r"(?i)^<t[hd][^>]*\bcolspan\s*=\s*[\"']?(\d+)", 1).try_cast("int"),
     )
-    return F.concat(F.lit(" "), text, F.repeat(F.lit(" |"), F.coalesce(span, F.lit(1))))
+    return F.coalesce(named, F.lit(1))
+
+
+def _cell(cell: Column) -> Column:
+    """A cell with its opening tag, as its text and as many borders as it spans columns."""
+    text = F.trim(F.regexp_replace(cell, ANY_TAG, ""))
+    return F.concat(F.lit(" "), text, F.repeat(F.lit(" |"), _span(cell)))
 
 
 def _table_lines(rows: Column) -> Column:
     """One Markdown line per table row."""
-    cells = lambda row: F.regexp_extract_all(
-        row, F.lit(r"(?is)(<t[hd]\b[^>]*>.*?)</t[hd]\s*>"), F.lit(1)
-    )
-    line = lambda row: F.array_join(F.transform(cells(row), _cell), "")
+    line = lambda row: F.array_join(F.transform(_cells(row), _cell), "")
     return F.transform(rows, lambda row: F.concat(F.lit("|"), unescape(line(row))))
 
 
-def _with_rule(lines: Column, headed: Column) -> Column:
+def _with_rule(lines: Column, first_row: Column) -> Column:
+    columns = F.aggregate(F.transform(_cells(first_row), _span), F.lit(0), lambda a, b: a + b)
     first = F.get(lines, F.lit(0))
-    # A cell ends in " |", so the borders of the first line give the column count.
-    columns = F.length(first) - F.length(F.replace(first, F.lit("|"), F.lit(""))) - 1
     rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), columns))
     blank = F.concat(F.lit("|"), F.repeat(F.lit("  |"), columns))
     body = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
-    return F.when(headed, F.concat(F.array(first, rule), body)).otherwise(
+    return F.when(first_row.rlike(r"(?i)<th\b"), F.concat(F.array(first, rule), body)).otherwise(
         F.concat(F.array(blank, rule), lines)
     )
 
 
 def table_to_markdown(html: Column) -> Column:
-    """A Markdown table. Without a header row a blank one is put first."""
+    """A Markdown table. Without a header row a blank one is put first; text outside of
+    the rows, such as a caption, goes before the table. Rows and cells of an inner table
+    follow as rows and cells of the outer one."""
     bare = collapse_whitespace(F.regexp_replace(html, INLINE_TAG, ""))
     bare = F.regexp_replace(bare, r"([*_])", r"\\$1")
-    rows = F.regexp_extract_all(bare, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    rows = F.regexp_extract_all(bare, F.lit(ROW), F.lit(1))
+    outside = collapse_whitespace(unescape(F.regexp_replace(F.regexp_replace(bare, ROW, " "), ANY_TAG, " ")))
+    before = F.when(outside != "", F.concat(outside, F.lit("\n\n"))).otherwise("")
     plain = collapse_whitespace(unescape(F.regexp_replace(html, ANY_TAG, " ")))
     table = lambda r: once(
-        _table_lines(r),
-        lambda lines: F.array_join(
-            _with_rule(lines, F.get(r, F.lit(0)).rlike(r"(?i)<th\b")), "\n"
-        ),
+        _table_lines(r), lambda lines: F.array_join(_with_rule(lines, F.get(r, F.lit(0))), "\n")
     )
-    return once(rows, lambda r: F.when(F.size(r) > 0, table(r)).otherwise(plain))
+    return once(rows, lambda r: F.when(F.size(r) > 0, F.concat(before, table(r))).otherwise(plain))

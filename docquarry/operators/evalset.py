@@ -106,35 +106,41 @@ def first_samples(samples: DataFrame, max_samples: int | None) -> DataFrame:
     return samples.filter(F.col("sample_id") < max_samples) if max_samples else samples
 
 
+def _run_hash(w: Column, at: Column, n: Column) -> Column:
+    return F.xxhash64(n, F.array_join(F.slice(w, at, n), " "))
+
+
+def _runs(w: Column, n: int) -> Column:
+    """Hashes of all runs of n words."""
+    starts = F.sequence(F.lit(1), F.size(w) - (n - 1))
+    found = F.transform(starts, lambda i: _run_hash(w, i, F.lit(n)))
+    return F.when(F.size(w) >= n, found).otherwise(F.array().cast("array<bigint>"))
+
+
 def containing_files(passages: DataFrame, documents: DataFrame, anchor: int = 8) -> DataFrame:
     """(query_id, source_file) for each document that holds a passage word for word.
 
     All words of the passage but the first and the last must stand in the document
     as whole words, so a run of them is looked up by hash among the runs of the
-    same length of all documents, and only those pairs are compared in full.
+    same length of all documents, and only those pairs are compared in full. Each passage
+    has its own run length, up to `anchor` words. Passages of one or two words are found
+    as whole words; those without words are in no document.
     """
-    shortest = passages.agg(F.min(F.size(words(F.col("text"))))).first()[0]
-    if shortest is None:
-        shortest = anchor + 2
-    if shortest < 3:
-        raise ValueError("passages need at least three words")
-    run = min(anchor, shortest - 2)
-    run_hash = lambda w, i: F.xxhash64(F.array_join(F.slice(w, i, run), " "))
-    anchors = passages.select(
-        "query_id", F.col("text").alias("passage"), run_hash(words(F.col("text")), F.lit(2)).alias("run")
-    )
-    runs = once(words(F.col("text")), lambda w: F.when(
-        F.size(w) >= run,
-        F.transform(F.sequence(F.lit(1), F.size(w) - (run - 1)), lambda i: run_hash(w, i)),
-    ))
-    # The text is fetched by name afterwards, so that no run carries a copy of it.
-    found = (
-        unnest(documents, ["source_file"], F.array_distinct(runs), "_p", "run")
-        .join(anchors, "run")
-        .select("query_id", "passage", "source_file")
-    )
+    w, short = F.col("w"), F.size("w") <= 2
+    anchors = passages.select("query_id", F.col("text").alias("passage"), words(F.col("text")).alias("w")).withColumn(
+        "n", F.when(short, F.size(w)).otherwise(F.least(F.lit(anchor), F.size(w) - 2))
+    ).filter("n > 0")
+    # At most `anchor` different lengths.
+    lengths = sorted(r[0] for r in anchors.select("n").distinct().collect()) or [anchor]
+    looked_up = anchors.select("query_id", _run_hash(w, F.when(short, 1).otherwise(2), F.col("n")).alias("run"))
+    runs = once(words(F.col("text")), lambda w: F.array_distinct(F.concat(*(_runs(w, n) for n in lengths))))
+    # Texts are fetched by name afterwards, so that no run carries a copy of one.
+    found = unnest(documents, ["source_file"], runs, "_p", "run").join(looked_up, "run").select("query_id", "source_file")
+    spaced = lambda w: F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
+    held = F.when(short, F.contains(spaced(words(F.col("document"))), spaced(w))).otherwise(F.contains("document", "passage"))
     return (
-        found.join(documents.select("source_file", F.col("text").alias("document")), "source_file")
-        .filter(F.contains("document", "passage"))
+        found.join(anchors.select("query_id", "passage", "w"), "query_id")
+        .join(documents.select("source_file", F.col("text").alias("document")), "source_file")
+        .filter(held)
         .select("query_id", "source_file")
     )

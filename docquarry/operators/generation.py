@@ -30,29 +30,38 @@ class UserGenerator:
 
     `load` returns `call(prompt, temperature, max_tokens) -> str`. A failing call
     gives a row with an error and no answer; the other rows go on. `mapInArrow`
-    makes sure no prompt is sent twice because of how the plan is optimised.
+    makes sure no prompt is sent twice because of how the plan is optimised. After a
+    failure of a class in `stop_on` (say `ConnectionError`) a task asks no more: its other
+    rows have the error too, are not finished, and a rerun takes them up.
     """
 
     load: Callable[[], Callable[[str, float, int], str]]
     temperature: float = 0.2
     max_tokens: int = 512
+    stop_on: tuple[type[Exception], ...] = ()
 
     def run(self, df: DataFrame, prompt: str = "prompt", out: str = "reply") -> DataFrame:
-        load, temperature, max_tokens = self.load, self.temperature, self.max_tokens
+        load, temperature, max_tokens, stop_on = self.load, self.temperature, self.max_tokens, self.stop_on
         schema = T.StructType(df.schema.fields + [T.StructField(out, REPLY)])
         reply_type = pa.struct([("answer", pa.string()), ("error", pa.string())])
 
-        def reply(call, text):
-            try:
-                return {"answer": call(text, temperature, max_tokens), "error": None}
-            except Exception as error:  # noqa: BLE001 - any failure belongs to its row
-                return {"answer": None, "error": str(error)}
-
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            call = load()
+            call, stopped = load(), None
+
+            def reply(text):
+                nonlocal stopped
+                if stopped:
+                    return {"answer": None, "error": f"not asked after: {stopped}"}
+                try:
+                    return {"answer": call(text, temperature, max_tokens), "error": None}
+                except Exception as error:  # noqa: BLE001 - any failure belongs to its row
+                    if isinstance(error, stop_on):
+                        stopped = str(error) or type(error).__name__
+                    return {"answer": None, "error": str(error)}
+
             for batch in batches:
                 prompts = batch.column(batch.schema.get_field_index(prompt)).to_pylist()
-                replies = pa.array([reply(call, p) for p in prompts], reply_type)
+                replies = pa.array([reply(p) for p in prompts], reply_type)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, replies], [*batch.schema.names, out]
                 )

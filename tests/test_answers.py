@@ -143,6 +143,32 @@ def test_containing_files(spark):
         assert found == {e for e in expected if asked is p or e[0] < 3}
 
 
+def test_short_passages_are_whole_words(spark):
+    documents = [("a", "one two\tthree"), ("b", "two one"), ("c", "onetwo twothree"), ("d", "three")]
+    passages = [(1, "one  two"), (2, "three"), (3, " "), (4, None), (5, "one two\tthree"), (6, "two")]
+    d = spark.createDataFrame(documents, "source_file string, text string")
+    p = spark.createDataFrame(passages, "query_id int, text string")
+    found = {tuple(r) for r in containing_files(p, d).collect()}
+    assert found == {(1, "a"), (2, "a"), (2, "d"), (5, "a"), (6, "a"), (6, "b")}
+
+
+def test_generator_stops_when_the_service_is_down(spark):
+    def load():
+        def call(prompt, temperature, max_tokens):
+            if prompt == "p2":
+                raise ConnectionError("down")
+            return prompt.upper()
+
+        return call
+
+    rows = spark.createDataFrame([(f"p{i}",) for i in range(5)], "prompt string").coalesce(1)
+    reply = lambda **more: {r.prompt: r.reply for r in UserGenerator(load, **more).run(rows).collect()}
+    stopped, going = reply(stop_on=(ConnectionError,)), reply()
+    assert [stopped[f"p{i}"].answer for i in range(5)] == ["P0", "P1", None, None, None]
+    assert stopped["p2"].error == "down" and stopped["p4"].error == "not asked after: down"
+    assert [going[f"p{i}"].answer for i in range(5)] == ["P0", "P1", None, "P3", "P4"]
+
+
 def test_first_samples(spark):
     df = spark.range(10).toDF("sample_id")
     assert [first_samples(df, n).count() for n in (None, 0, 3, 99)] == [10, 10, 3, 10]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.fuzzy import (
     common_subsequence, with_token_set_bounds, with_token_set_match, with_token_set_ratio,
 )
-from docquarry.functions.html import table_to_markdown
+from docquarry.functions.html import table_to_markdown, unescape
 from docquarry.functions.ids import uuid5
 from docquarry.functions.scores import judge_failed, judge_score, token_f1
 from docquarry.functions.text import (
@@ -73,6 +73,28 @@ def test_tables(spark):
     ]
 
 
+def test_tables_in_bad_shape(spark):
+    tables = [
+        "<table><tr><td>one<td>two<tr><td>three<td>four</table>",
+        "<table><caption>Prices</caption><tr><th>a|b</th><th>c</th></tr><tr><td>1</td><td>2</td></tr></table>",
+        "<table><tr><td>x<table><tr><td>y</td></tr></table></td><td>z</td></tr></table>",
+    ]
+    open_cells, caption, nested = column(spark, tables, table_to_markdown)
+    assert open_cells == "|  |  |\n| --- | --- |\n| one | two |\n| three | four |"
+    assert caption == "Prices\n\n| a|b | c |\n| --- | --- |\n| 1 | 2 |"
+    assert all(x in nested for x in "xyz") and "<" not in nested
+
+
+def test_entities(spark):
+    import html
+
+    texts = ["&eacute;&#8211;&#x1F600;&lt;b&gt;", "&amp;lt; a & b &unknown; &#0; &#xD800;", "no", "&&;&copy;", "&nbsp;&#160;x"]
+    expected = [html.unescape(t) for t in texts]
+    expected[1], expected[4] = "&lt; a & b &unknown; &#0; &#xD800;", "  x"
+    assert column(spark, texts, unescape) == expected
+    assert column(spark, [None], unescape) == [None]
+
+
 def test_uuid5(spark):
     names = ["a.json_0", "", "Ünïcode 文_12", "x" * 300] + [f"doc_{i}_{i}" for i in range(50)]
     assert column(spark, names, uuid5) == [str(uuid.uuid5(uuid.NAMESPACE_DNS, n)) for n in names]
