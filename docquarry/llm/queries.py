@@ -42,11 +42,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_quality_rules")
+_JS = "CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END"
+_COUNTED = ", ".join(f"length(regexp_replace(text, '{c}', '', 'g'))" for c in (
+    "[^#*$%&|<>]", "[^A-Z]", "[^0-9]", r"[^!\"''(-),-/:;=?@\[-`{}~+]", r"[\x00-\x7F]"))
+_QUALITY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+  FROM (SELECT r, lang, regexp_extract_all(text, '[^ 	-]+') AS ws FROM d)),
+n AS (SELECT r, any_value(lang) AS lang, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY r),
+windows AS (
+  SELECT r, i, word AS a, lead(word, 1) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY r ORDER BY i)),
+repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS k FROM windows WHERE c IS NOT NULL) WHERE k > 1),
+covered AS (SELECT r, count(DISTINCT i + s) AS words FROM repeated, (VALUES (0), (1), (2)) AS x(s) GROUP BY r),
+lines AS (
+  SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
+classes AS (
+  SELECT r, lang, length(text) AS size, list_transform([{_COUNTED}], lambda x: x / greatest(length(text), 1)) AS s FROM d),
+shares AS (
+  SELECT r, lang, size, unnest(list_append(s, greatest(0, 1 - list_sum(s)))) AS p, generate_subscripts(list_append(s, 0), 1) AS k
+  FROM classes),
+totals AS (SELECT lang, sum(n_words) AS total FROM n GROUP BY lang HAVING sum(n_words) >= 20000),
+char_ref AS (SELECT lang, k, avg(p) AS q FROM shares WHERE size > 0 GROUP BY lang, k),
+common AS (
+  SELECT lang, word, count(*) / any_value(total) AS q FROM w JOIN totals USING (lang) WHERE length(word) <= 4
+  GROUP BY lang, word HAVING count(*) >= 0.005 * any_value(total)),
+char_js AS (
+  SELECT r, sqrt(least(1, greatest(0, sum({_JS}) / 2))) AS x FROM shares JOIN char_ref USING (lang, k) GROUP BY r),
+held AS (SELECT r, word, count(*) AS c FROM w GROUP BY r, word),
+known AS (
+  SELECT n.r, n.lang, common.q, coalesce(c, 0) / n_words AS p
+  FROM n JOIN common USING (lang) LEFT JOIN held ON held.r = n.r AND held.word = common.word),
+all_words AS (
+  SELECT r, q, p FROM known UNION ALL SELECT r, 1 - sum(q), 1 - sum(p) FROM known GROUP BY r),
+word_js AS (SELECT r, sqrt(least(1, greatest(0, sum({_JS}) / 2))) AS x FROM all_words GROUP BY r),
+measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(words, 0) AS n_repeat_words,
+    CASE WHEN n_words >= 50 AND word_js.x IS NOT NULL THEN char_js.x END AS cd,
+    CASE WHEN n_words >= 50 THEN word_js.x END AS wd
+  FROM d JOIN lines USING (r) LEFT JOIN n USING (r) LEFT JOIN covered USING (r)
+    LEFT JOIN char_js USING (r) LEFT JOIN word_js USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+  NOT failed AND coalesce(cd, 0) <= 0.35 AND coalesce(wd, 0) <= 0.45 AS kept,
+  round(cd, 6) AS char_distance, round(wd, 6) AS word_distance
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM measured)"""
+
+
+@query("op1_quality_rules", _QUALITY_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "char_distance", "word_distance",
+        *(F.round(c, 6).alias(c) for c in ("char_distance", "word_distance")),
     )
 
 

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from docquarry.llm import decontamination, kneser_ney, language_id, packing, pii, quality_rules, simhash
 from docquarry.llm.license_scan import license_scan
-from docquarry.llm.queries import QUERIES, tokenizer_path
+from docquarry.llm.queries import QUERIES, SQL, tokenizer_path
 from docquarry.llm.substring_dedup import difference_cover, repeated_strings
 from docquarry.llm.token_counts import allot, line_sections, section_counts
 
@@ -65,6 +66,19 @@ def test_quality_measures(docs, awkward):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_quality_rules_equal_sql(spark, size):
+    folder = f"/root/testdata/sf{size}"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    df = QUERIES["op1_quality_rules"](spark, folder)
+    columns = sorted(df.columns)
+    found = connection.execute(f"SELECT {', '.join(columns)} FROM ({SQL['op1_quality_rules']})")
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER"}
+    assert {c[0]: str(c[1]) for c in found.description} == {c: kinds[t] for c, t in df.dtypes}
+    assert sorted(map(str, map(tuple, df.select(*columns).collect()))) == sorted(map(str, found.fetchall()))
+
+
 def test_quality_many_repeated_windows(spark):
     # More than 500 different repeated windows: the second way to find their places.
     text = " ".join(str(i) for i in range(700)) + " - " + " ".join(str(i) for i in range(700))
