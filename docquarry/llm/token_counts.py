@@ -29,26 +29,29 @@ RESULTS = ("section", "name", "start", "end", "n_tokens", "n_crossing")
 
 
 class SpanEncoder(Encoder):
-    """Character spans of the tokens of whole texts, known words looked up like ids."""
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.offsets, dtype="<i4").reshape(-1, 2).tobytes() for x in found]
-
-    def _encode_words(self, given: list[str]) -> list[bytes]:
-        return self._encode(given)
-
-    def spans(self, text: str, keys: list[str] | None) -> np.ndarray:
-        """(start, end) of each token, in characters."""
-        if keys is None:
-            return np.frombuffer(self._encode([text])[0], dtype="<i4").reshape(-1, 2)
-        parts = [self.known[w] for w in keys]
-        # A word's own space comes before it; a line feed is in its word, the first has neither.
-        lengths = np.array([len(w) if w[:1] == "\n" else len(w) + 1 for w in keys])
-        lengths[0] = len(keys[0]) - 1
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        counts = np.array([len(p) // 8 for p in parts])
-        return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 2) + np.repeat(starts, counts)[:, None]
+    """Character spans of the tokens of whole texts."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        if self.ranks:
+            self.sizes = np.zeros(max(self.ranks.values()) + 1, dtype=np.int64)
+            self.sizes[list(self.ranks.values())] = [len(t) for t in self.ranks]
+
+    def spans(self, text: str) -> np.ndarray:
+        """(start, end) of each token, in characters; a token with a part of a character
+        spans it whole."""
+        if not self.core:
+            found = self.tokenizer.encode_batch([text], add_special_tokens=False)[0].offsets
+            return np.array(found, dtype=np.int64).reshape(-1, 2)
+        sizes = self.sizes[np.frombuffer(self.encode(text), dtype="<u4")]
+        ends = np.cumsum(sizes)
+        bounds = np.stack((ends - sizes, ends - 1), axis=1)
+        if not text.isascii():
+            # The character that holds each byte: only its first is no continuation.
+            held = np.cumsum(np.frombuffer(text.encode(), dtype=np.uint8) & 0xC0 != 0x80) - 1
+            bounds = held[bounds]
+        bounds[:, 1] += 1
+        return bounds
 
 
 def allot(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,11 +94,9 @@ def section_counts(docs: DataFrame, sections: Column, path: str) -> DataFrame:
                 some = batch.slice(begin, 256)
                 rows, out = [], [[] for _ in types]
                 texts = [t or "" for t in some.column("text").to_pylist()]
-                keys = [encoder.cut(t) for t in texts]
-                encoder.learn(keys)
-                for i, (text, key, parts) in enumerate(zip(texts, keys, some.column("_sections").to_pylist())):
+                for i, (text, parts) in enumerate(zip(texts, some.column("_sections").to_pylist())):
                     parts = sorted((p for p in parts or () if p), key=lambda p: (p["start"], p["end"]))
-                    spans = encoder.spans(text, key) if text else np.empty((0, 2), dtype=np.int64)
+                    spans = encoder.spans(text) if text else np.empty((0, 2), dtype=np.int64)
                     starts = np.array([p["start"] for p in parts], dtype=np.int64)
                     ends = np.array([p["end"] for p in parts], dtype=np.int64)
                     owned, crossed = allot(spans, starts, ends)
