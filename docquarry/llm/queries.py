@@ -11,6 +11,7 @@ from docquarry.llm import language_id
 from docquarry.llm.decontamination import contaminated, question_and_answer
 from docquarry.llm.kneser_ney import classify
 from docquarry.llm.license_scan import license_scan
+from docquarry.llm.merkle import manifest
 from docquarry.llm.packing import pack, token_pieces
 from docquarry.llm.pii import KINDS, digest, find_pii
 from docquarry.llm.quality_rules import quality_rules
@@ -49,7 +50,8 @@ _QUALITY_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT r, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
-  FROM (SELECT r, lang, regexp_extract_all(text, '[^ 	-]+') AS ws FROM d)),
+  FROM (SELECT r, lang, regexp_extract_all(text, '[^ 	-
+]+') AS ws FROM d)),
 n AS (SELECT r, any_value(lang) AS lang, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY r),
 windows AS (
   SELECT r, i, word AS a, lead(word, 1) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY r ORDER BY i)),
@@ -57,7 +59,8 @@ repeated AS (
   SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS k FROM windows WHERE c IS NOT NULL) WHERE k > 1),
 covered AS (SELECT r, count(DISTINCT i + s) AS words FROM repeated, (VALUES (0), (1), (2)) AS x(s) GROUP BY r),
 lines AS (
-  SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l FROM d),
+  SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM d),
 classes AS (
   SELECT r, lang, length(text) AS size, list_transform([{_COUNTED}], lambda x: x / greatest(length(text), 1)) AS s FROM d),
 shares AS (
@@ -162,3 +165,69 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return classify(docs, trusted).withColumns({c: F.round(c, 4) for c in ("perplexity", "threshold")})
+
+
+def _manifest_sql(height: int = 10) -> str:
+    """Trees of up to 8 ** `height` leaves, and as many parts, level by level."""
+    value = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    ctes = [
+        # The remainder of the polynomial division, bit by bit over each byte of the decimal id.
+        """crc AS (
+  SELECT DISTINCT doc_id, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(length(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, y: xor(x // 2, 3988292384 * (x % 2)))), 4294967295) % 3 = 0 AS touched
+  FROM documents)""",
+        f"""raw AS (
+  SELECT *, {leaf("text")} AS leaf, {leaf("low")} AS lower_leaf
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents))""",
+        """leaves AS (
+  SELECT raw.doc_id, lang, leaf, CASE WHEN touched THEN lower_leaf ELSE leaf END AS held,
+    coalesce('=' || lang, '') AS tree, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY raw.doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM raw JOIN crc ON raw.doc_id IS NOT DISTINCT FROM crc.doc_id)""",
+    ]
+
+    def levels(name: str, start: str) -> None:
+        """`name`k: the nodes of level k with their siblings; a tree's last node stays as it is."""
+        ctes.append(f"{name}0 AS ({start})")
+        for k in range(height):
+            ctes.append(f"""{name}{k + 1} AS (
+  SELECT tree, i // 8 AS i, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, (n + 7) // 8 AS n
+  FROM {name}{k} GROUP BY tree, i // 8, n)""")
+            around = f"PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN"
+            ctes.append(f"""{name}{k}s AS (
+  SELECT tree, i, n > 1 AS hashed, coalesce(string_agg(h, '') OVER ({around} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '') OVER ({around} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}{k})""")
+
+    def walk(name: str, rows: str, tree: str, i: str, x: str, trail: str, out: str) -> None:
+        """From `x` up through the levels, collecting the siblings."""
+        ctes.append(f"{out}0 AS (SELECT *, {tree} AS tree_, {i} AS i_, {x} AS x_, {trail} AS trail_ FROM {rows})")
+        for k in range(height):
+            ctes.append(f"""{out}{k + 1} AS (
+  SELECT o.* REPLACE (i_ // 8 AS i_, CASE WHEN hashed THEN sha256(before || x_ || after) ELSE x_ END AS x_,
+    trail_ || before || after AS trail_)
+  FROM {out}{k} o JOIN {name}{k}s s ON s.tree = tree_ AND s.i = i_)""")
+
+    levels("n", "SELECT tree, i, leaf AS h, n FROM leaves")
+    ctes.append(f"""parts AS (
+  SELECT tree, h, count(*) OVER () AS n, row_number() OVER (ORDER BY encode(tree)) - 1 AS i FROM n{height})""")
+    levels("t", "SELECT '' AS tree, i, h, n FROM parts")
+    walk("n", "leaves", "tree", "i", "held", "''", "a")
+    ctes.append(f"""folded AS (
+  SELECT a.doc_id, a.lang, a.leaf, p.h AS subroot, p.i AS part, a.x_ AS folded, a.trail_ AS trail
+  FROM a{height} a JOIN parts p USING (tree))""")
+    walk("t", "folded", "''", "part", "folded", "trail", "b")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, lang, leaf, subroot, t.h AS root, sha256(trail_) AS proof_sha256, x_ AS folded_root, x_ = t.h AS verified
+FROM b{height}, t{height} t"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest(docs, docs.columns, "lang", "doc_id", tampered, {"text": lower})
