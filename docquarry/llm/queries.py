@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docquarry.llm import language_id
 from docquarry.llm.decontamination import contaminated, question_and_answer
+from docquarry.llm.hard_negatives import hard_negatives
 from docquarry.llm.kneser_ney import classify
 from docquarry.llm.license_scan import license_scan
 from docquarry.llm.merkle import manifest
@@ -231,3 +232,26 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return manifest(docs, docs.columns, "lang", "doc_id", tampered, {"text": lower})
+
+
+@query("op11_hard_negatives", """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS s
+  FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, s AS p FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, id AS negative_id, p AS positive_score, s AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * p <= 100 * s AND 100 * s <= 95 * p
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, id)
+QUALIFY row_number() OVER w <= 3""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
