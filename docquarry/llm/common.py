@@ -50,8 +50,9 @@ def own(name: str) -> str:
 
 
 def refuse_clash(df: DataFrame, *names: str) -> DataFrame:
-    """The input without columns that bear a name the operator gives out: they are replaced."""
-    return df.drop(*(c for c in df.columns if c in names))
+    """The input without columns that bear a name the operator gives out, in any case: they are replaced."""
+    taken = {n.lower() for n in names}
+    return df.select(*(df[c] for c in df.columns if c.lower() not in taken))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

@@ -19,6 +19,7 @@ from docquarry.llm.quality_rules import quality_rules
 from docquarry.llm.simhash import simhash_groups
 from docquarry.llm.substring_dedup import repeated_strings
 from docquarry.llm.token_counts import line_sections, section_counts
+from docquarry.llm.weighted_sampling import neighbour_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -255,3 +256,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_document_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
