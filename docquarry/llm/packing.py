@@ -54,14 +54,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
         self.ranks = rank_table(path, self.tokenizer)
-        self.core = None
+        self.table, self.special = None, []
         if self.ranks:
             from tiktoken import Encoding
 
-            self.core = Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=self.ranks, special_tokens={})._core_bpe
+            self.table = Encoding("ranks", pat_str=_SPLIT, mergeable_ranks=self.ranks, special_tokens={})
+            # A text with the string of a special token is left to `tokenizers`, which gives it that token's id.
+            self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def by_ranks(self, text: str) -> bool:
+        return self.table is not None and not any(s in text for s in self.special)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -72,8 +75,8 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
-        if self.core:
-            return np.frombuffer(self.core.encode_to_tiktoken_buffer(text, set()), dtype=np.uint32).astype("<u4").tobytes()
+        if self.by_ranks(text):
+            return self.table.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
@@ -117,7 +120,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int = 1024, closing: int = 2
     Only documents longer than `limit` are cut; all their pieces but the first are full.
     """
     names = ("piece", "start", "length", "ids")
-    kept = [c for c in docs.columns if c not in ("text", *names)]
+    kept = [c for c in refuse_clash(docs, *names).columns if c != "text"]
     schema = T.StructType([docs.schema[c] for c in kept] + [
         T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquarry.llm.common import let, running_totals
+from docquarry.llm.common import let, own, refuse_clash, running_totals
 from docquarry.llm.packing import Encoder
 
 SECTION = T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -40,7 +40,7 @@ class SpanEncoder(Encoder):
     def spans(self, text: str) -> np.ndarray:
         """(start, end) of each token, in characters; a token with a part of a character
         spans it whole."""
-        if not self.core:
+        if not self.by_ranks(text):
             found = self.tokenizer.encode_batch([text], add_special_tokens=False)[0].offsets
             return np.array(found, dtype=np.int64).reshape(-1, 2)
         sizes = self.sizes[np.frombuffer(self.encode(text), dtype="<u4")]
@@ -80,11 +80,12 @@ def section_counts(docs: DataFrame, sections: Column, path: str) -> DataFrame:
 
     `sections` is an array of (name, start, end) in code points, ends exclusive.
     """
-    kept = [c for c in docs.columns if c not in ("text", *RESULTS)]
+    kept = [c for c in refuse_clash(docs, *RESULTS).columns if c != "text"]
     schema = T.StructType([docs.schema[c] for c in kept] + [
         T.StructField("section", T.IntegerType()), T.StructField("name", T.StringType()),
         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("n_crossing", T.LongType())])
+    given_sections = own("sections")
     types = (pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
 
     def run(batches):
@@ -94,7 +95,7 @@ def section_counts(docs: DataFrame, sections: Column, path: str) -> DataFrame:
                 some = batch.slice(begin, 256)
                 rows, out = [], [[] for _ in types]
                 texts = [t or "" for t in some.column("text").to_pylist()]
-                for i, (text, parts) in enumerate(zip(texts, some.column("_sections").to_pylist())):
+                for i, (text, parts) in enumerate(zip(texts, some.column(given_sections).to_pylist())):
                     parts = sorted((p for p in parts or () if p), key=lambda p: (p["start"], p["end"]))
                     spans = encoder.spans(text) if text else np.empty((0, 2), dtype=np.int64)
                     starts = np.array([p["start"] for p in parts], dtype=np.int64)
@@ -111,7 +112,7 @@ def section_counts(docs: DataFrame, sections: Column, path: str) -> DataFrame:
                 columns = some.select(kept).take(pa.array(rows, pa.int64())).columns + [pa.array(x, t) for x, t in zip(out, types)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *RESULTS])
 
-    given = docs.select(*kept, "text", sections.cast(T.ArrayType(SECTION)).alias("_sections"))
+    given = docs.select(*kept, "text", sections.cast(T.ArrayType(SECTION)).alias(given_sections))
     return given.mapInArrow(run, schema)
 
 

@@ -22,7 +22,7 @@ def same(encoder, texts):
 
 
 def test_all_kinds_of_characters(encoder):
-    assert encoder.core
+    assert encoder.table
     points = [c for c in range(0, 0x110000, 29) if not 0xD800 <= c < 0xE000] + list(range(0x3000))
     same(encoder, [f"a{chr(c)}1{chr(c)} {chr(c)}!{chr(c)}  {chr(c)}" for c in points])
 
@@ -34,7 +34,14 @@ def test_awkward_texts(encoder):
                    "".join(draw.choice("abcdefghij") for _ in range(50_000))])
 
 
+def test_special_strings(encoder):
+    """An untouched tokenizer gives the string of a special token its id; so does the encoder."""
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x" * 3, "<|endoftext|", "é<|endoftext|>\n漢"]
+    same(encoder, texts)
+    assert 50256 in np.frombuffer(encoder.encode(texts[0]), "<u4")
+
+
 def test_other_files_are_used_as_they_are():
     other = SpanEncoder(tokenizer_path("word_bpe_49k.json"))
-    assert other.core is None
+    assert other.table is None
     same(other, ["Some words, and some more.", "é漢"])
