@@ -32,6 +32,8 @@ from docquarry.session import stage
 SEED = 42
 #: Four bits to a segment: counts of 0 to 4 fit a 4-bit digit with room for a step.
 SEGMENT_BITS = 4
+#: The number of grid points grows with the power of half of this.
+MAX_BITS = 6
 RESULTS = ("fingerprint", "component_id", "component_key")
 #: Shingle hashes that are counted at once, so that long texts need bounded memory.
 _BLOCK = 1 << 16
@@ -80,13 +82,15 @@ def _grid_points(bits: Column, reach: int) -> Column:
     moves = {0}
     for _ in range(reach):
         moves |= {m + sign * (1 << SEGMENT_BITS * i) for m in moves for i in range(64 // SEGMENT_BITS) for sign in (1, -1)}
-    # Sums that leave the range of a long are those of counts that no fingerprint has.
-    reached = F.array(*(F.lit(m) for m in sorted(moves) if abs(m) < 1 << 61))
+    # The top count is at most 4, so up to three steps more stay within a long.
+    reached = F.array(*(F.lit(m) for m in sorted(moves)))
     return F.transform(F.array(counts), lambda c: F.transform(reached, lambda m: c + m))[0]
 
 
 def near_pairs(fingerprints: DataFrame, max_bits: int = 2) -> DataFrame:
     """(a, b): all pairs of the distinct longs in `bits` that differ in at most `max_bits` bits."""
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"max_bits must be 0 to {MAX_BITS}")
     reach = (max_bits + 1) // 2
     entered = fingerprints.select("bits", F.explode(_grid_points(F.col("bits"), reach)).alias("point"))
     other = entered.withColumnRenamed("bits", "other")
