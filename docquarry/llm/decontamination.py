@@ -32,6 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquarry.llm.common import refuse_clash
+from docquarry.session import stage
+
 PART = 64
 BLOCK = 8
 SLICE = 4096
@@ -52,25 +55,33 @@ def _shingles(found: list[str]) -> set[tuple]:
     return {tuple(found[i:i + n]) for i in range(len(found) - n + 1)} if n else set()
 
 
+def _parts(found: list[str]) -> list[list[str]]:
+    return [found[i:i + PART] for i in range(0, len(found), PART)]
+
+
 class Index:
-    """Block-max index of the parts of some items: [(item_id, question, answer)]."""
+    """Block-max index of the parts of some items: [(item_id, question, answer)].
 
-    def __init__(self, items: list[tuple], threshold: float):
+    `n`, `mean` and `df` are the number of parts, their mean length and the terms'
+    document frequencies over all items; without them, over these ones.
+    """
+
+    def __init__(self, items: list[tuple], threshold: float, n: int = 0, mean: float = 0.0, df: dict[str, int] | None = None):
         self.threshold = threshold
         self.items = items
         self.shingles = [(_shingles(_words(q)), _shingles(_words(a))) for _, q, a in items]
         parts = [
-            (number, found[i:i + PART])
+            (number, part)
             for number, (_, q, a) in enumerate(items)
-            for found in [_words(q) + _words(a)]
-            for i in range(0, len(found), PART)
+            for part in _parts(_words(q) + _words(a))
         ]
         # Parts of like length share a block, so that the block's maxima are close to each.
         parts.sort(key=lambda x: (len(x[1]), x[0]))
         self.item_of = np.array([number for number, _ in parts], dtype=np.int64)
         self.terms: dict[str, int] = {}
-        n, mean = len(parts), sum(len(p) for _, p in parts) / max(1, len(parts))
-        df = Counter(t for _, p in parts for t in set(p))
+        if df is None:
+            n, mean = len(parts), sum(len(p) for _, p in parts) / max(1, len(parts))
+            df = Counter(t for _, p in parts for t in set(p))
         rows, columns, shares = [], [], []
         for row, (_, p) in enumerate(parts):
             impact = {
@@ -84,7 +95,7 @@ class Index:
                 columns.append(self.terms.setdefault(t, len(self.terms)))
                 shares.append(x / whole)
         rows, columns, shares = np.array(rows, int), np.array(columns, int), np.array(shares)
-        self.block_max = np.zeros((len(self.terms), -(-n // BLOCK)), dtype=np.float32)
+        self.block_max = np.zeros((len(self.terms), -(-len(parts) // BLOCK)), dtype=np.float32)
         np.maximum.at(self.block_max, (columns, rows // BLOCK), shares.astype(np.float32))
         # Postings of each block: term, part within the block, share.
         order = np.argsort(rows // BLOCK, kind="stable")
@@ -143,20 +154,52 @@ class Index:
                 yield number, near[number], q, a
 
 
+def statistics(items: DataFrame) -> DataFrame:
+    """(term, parts, words): in how many parts of all items each term stands; the null term
+    has the number of all parts and of their words."""
+    def run(batches):
+        for batch in batches:
+            df, words = Counter(), 0
+            for question, answer in zip(batch.column("question").to_pylist(), batch.column("answer").to_pylist()):
+                for part in _parts(_words(question) + _words(answer)):
+                    df.update({None, *part})
+                    words += len(part)
+            if df:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64()),
+                    pa.array([words if t is None else 0 for t in df], pa.int64())], names=["term", "parts", "words"])
+
+    counted = items.select("question", "answer").mapInArrow(run, "term string, parts long, words long")
+    return stage(counted.groupBy("term").agg(F.sum("parts").alias("parts"), F.sum("words").alias("words")), "bm25-statistics")
+
+
 def slices(items: DataFrame, threshold: float) -> Iterator[Index]:
-    """Indexes over all items (item_id, question, answer), in slices of bounded size."""
+    """Indexes over all items (item_id, question, answer), in slices of bounded size.
+
+    Statistics are those of all items, so no score depends on where a slice ends.
+    """
+    counts = statistics(items)
+    total = counts.filter("term IS NULL").first()
     held, parts = [], 0
+
+    def index() -> Index:
+        # At most as many terms as the slice has words.
+        terms = sorted({w for _, q, a in held for w in _words(q) + _words(a)})
+        wanted = items.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+        df = {r["term"]: r["parts"] for r in counts.join(wanted, "term").collect()}
+        return Index(held, threshold, total["parts"], total["words"] / total["parts"], df)
+
     for row in items.select("item_id", "question", "answer").toLocalIterator():
-        n = -(-len(_words(row[1]) + _words(row[2])) // PART)
+        n = len(_parts(_words(row[1]) + _words(row[2])))
         if n == 0:
             continue
         if held and parts + n > SLICE:
-            yield Index(held, threshold)
+            yield index()
             held, parts = [], 0
         held.append(tuple(row))
         parts += n
     if held:
-        yield Index(held, threshold)
+        yield index()
 
 
 def contaminated(
@@ -164,7 +207,7 @@ def contaminated(
 ) -> DataFrame:
     """(the documents' columns but `text`, item_id, score, question_overlap, answer_overlap)."""
     names = ["item_id", "score", "question_overlap", "answer_overlap"]
-    kept = [c for c in docs.columns if c not in ("text", *names)]
+    kept = [c for c in refuse_clash(docs, *names).columns if c != "text"]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("item_id", items.schema["item_id"].dataType)]
                           + [T.StructField(c, T.DoubleType()) for c in names[1:]])
     out = docs.sparkSession.createDataFrame([], schema)
