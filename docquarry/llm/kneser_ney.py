@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.llm.common import own, refuse_clash, text_of
 from docquarry.session import stage
@@ -221,15 +222,31 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.998, s
     """
     key, lang = own("key"), F.coalesce("lang", F.lit("und"))
     base = refuse_clash(docs, *RESULTS)
-    ids = trusted_ids.select("doc_id").distinct()
-    model = train(docs.select("doc_id", lang.alias("lang"), text_of().alias("text")).join(ids, "doc_id", "left_semi").select("lang", "text"))
+    ids = stage(trusted_ids.select("doc_id").filter("doc_id IS NOT NULL").distinct(), "kn-trusted")
+    model = train(_of_ids(docs, ids).select(lang.alias("lang"), text_of().alias("text")))
     identity = F.xxhash64("doc_id", lang, text_of())
     keyed = docs.select(identity.alias(key), lang.alias("lang"), text_of().alias("text"))
     scores = stage(perplexities(keyed, model, key), "kn-scores")
     carried = base.withColumn(key, identity).select(*(c for c in base.columns if c != "text"), key)
     scored = stage(carried.join(scores, key, "left").drop(key), "kn-scored")
     # Trusted documents of a language: their quantile is a bounded sketch.
-    limits = scored.join(ids, "doc_id", "left_semi").groupBy(lang.alias("_l")).agg(
+    group = own("lang")
+    limits = scored.join(ids, "doc_id", "left_semi").groupBy(lang.alias(group)).agg(
         (F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold"))
-    judged = scored.withColumn("_l", lang).join(stage(limits, "kn-limits"), "_l", "left").drop("_l")
+    judged = scored.withColumn(group, lang).join(stage(limits, "kn-limits"), group, "left").drop(group)
     return judged.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
+
+
+def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of these ids. Whole-number ids become bitmaps, one of 4 KB for each range
+    of 32,768, in a written table: Spark knows its size and sends it to the texts while it is
+    small, where a list of the ids would make it shuffle the texts."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return docs.join(ids, "doc_id", "left_semi")
+    number, bit, bits = own("number"), own("bit"), own("bits")
+    key = F.col("doc_id").cast("long")
+    maps = ids.groupBy(F.bitmap_bucket_number(key).alias(number)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias(bits))
+    held = docs.withColumns({number: F.bitmap_bucket_number(key), bit: F.bitmap_bit_position(key)}).join(stage(maps, "kn-bitmaps"), number)
+    # Byte `bit` / 8 of the bitmap, lowest bit first.
+    octet = F.conv(F.hex(F.substr(F.col(bits), F.floor(F.col(bit) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.filter(F.getbit(octet, (F.col(bit) % 8).cast("int")) == 1).drop(number, bit, bits)
