@@ -32,9 +32,10 @@ def docs(spark, sf):
 @pytest.fixture(scope="module")
 def awkward(spark):
     # Columns with the operators' own result names come along.
-    rows = [(i, t, x, "src", 1, "?", 7) for i, t, x in AWKWARD]
+    rows = [(i, t, x, "src", 1, "?", 7, "a", "b", 1, 2) for i, t, x in AWKWARD]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars int, kept string, score int")
+        rows, "doc_id long, text string, lang string, source string, n_chars int, kept string, score int,"
+        " N_WORDS string, Fingerprint string, _sections int, _l int")
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +141,20 @@ def test_simhash_pairs_are_complete(spark):
     assert {tuple(r) for r in found} == expected
 
 
+@pytest.mark.parametrize("max_bits", [3, 4])
+def test_simhash_pairs_at_more_bits(spark, max_bits):
+    rng = np.random.default_rng(max_bits)
+    flip = lambda x, n: int(np.int64(x) ^ np.bitwise_or.reduce(np.int64(1) << rng.choice(64, n, replace=False).astype(np.int64)))
+    base = [int(x) for x in rng.integers(-2**63, 2**63, 12)] + [0, -1]
+    bits = set(base) | {flip(x, n) for x in base for n in range(1, 6)} | {0x7000000000000000, 0x7, -2**63, -2**60}
+    found = simhash.near_pairs(spark.createDataFrame([(x,) for x in bits], "bits long"), max_bits).distinct().collect()
+    mask = (1 << 64) - 1
+    expected = {(a, b) for a in bits for b in bits if a < b and ((a ^ b) & mask).bit_count() <= max_bits}
+    assert {tuple(r) for r in found} == expected
+    with pytest.raises(ValueError):
+        simhash.near_pairs(spark.createDataFrame([], "bits long"), 7)
+
+
 def test_one_of_each(docs, awkward, texts):
     kept = simhash.one_of_each(both(docs, awkward)).collect()
     groups = {plain_fingerprint(r["text"]) for r in kept}
@@ -177,6 +192,17 @@ def test_decontamination(spark, docs, sf):
     assert {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - {d for d, _ in found}
 
 
+def test_decontamination_by_slices(spark, docs, sf, monkeypatch):
+    """Scores do not depend on how the index is cut."""
+    items = decontamination.question_and_answer(spark.read.parquet(f"{sf}/benchmark.parquet")).limit(12)
+    part = items.selectExpr("cast(item_id AS long) AS doc_id", "substring(question, 1, 3 * length(question) div 4) AS text")
+    copies = part.unionByName(docs.select("doc_id", "text").limit(50))
+    found = lambda: sorted(map(str, decontamination.contaminated(copies, items, 0.4, 0.3).collect()))
+    whole = found()
+    monkeypatch.setattr(decontamination, "SLICE", 3)
+    assert found() == whole and whole
+
+
 def test_decontamination_is_exhaustive():
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(300)] + ["the"] * 60
@@ -269,7 +295,6 @@ def test_packing(docs, awkward, texts):
     pieces = packing.token_pieces(both(docs, awkward).drop("lang"), tokenizer_path())
     rows = packing.pack(pieces).collect()
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     whole = Counter(np.array(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [2], "<u4").tobytes() for r in texts)
     by_document = {}
     for r in rows:
@@ -303,7 +328,6 @@ def test_token_counts(docs, awkward, texts):
 
     rows = section_counts(both(docs, awkward).drop("lang"), line_sections(F.col("text")), tokenizer_path()).collect()
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     assert sum(r["n_tokens"] for r in rows) == sum(len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in texts)
 
 
@@ -376,3 +400,17 @@ def test_pipeline(spark, sf):
     assert not any(plain_pii(r["text"]) for r in docs.collect())
     packed = corpus_pipeline.run(spark, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_documents_of_ids(spark):
+    """The bitmaps give exactly the rows of the listed ids, over several ranges, signs and nulls."""
+    draw = np.random.default_rng(6)
+    some = {0, 1, -1, 32767, 32768, 32769, 65536, -32768, -32769, *map(int, draw.integers(-200_000, 200_000, 300))}
+    listed = {i for i in some if i % 3}
+    docs = spark.createDataFrame([(i, "x") for i in some] * 2 + [(None, "y")], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in listed], "doc_id long")
+    found = kneser_ney._of_ids(docs, ids)
+    assert found.columns == docs.columns
+    assert sorted(r["doc_id"] for r in found.collect()) == sorted([*listed, *listed])
+    named = docs.selectExpr("cast(doc_id AS string) AS doc_id", "text")
+    assert kneser_ney._of_ids(named, ids.selectExpr("cast(doc_id AS string) AS doc_id")).count() == 2 * len(listed)
