@@ -30,6 +30,11 @@ def slots(text: Column) -> Column:
     return F.transform(terms(text), slot)
 
 
+def with_slots(df: DataFrame, text: str = "text", out: str = "slots") -> DataFrame:
+    """Add the slots, for a stage that is both fitted and encoded."""
+    return df.withColumn(out, slots(F.col(text)))
+
+
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
@@ -48,17 +53,30 @@ def _hash_rows(ids: pa.ListArray, weights: np.ndarray, dim: int) -> pa.ListArray
     row_of = np.repeat(np.arange(rows), ids.value_lengths().fill_null(0).to_numpy())
     sums = np.bincount(
         row_of * dim + flat % dim, weights=weights[flat], minlength=rows * dim
-    ).reshape(rows, dim)
+    ).astype(np.float64).reshape(rows, dim)  # without any slot the sums are whole numbers
     return list_column(unit_rows(sums))
 
 
+def slot_counts(chunks: DataFrame, by: str | None = None, text: str = "text") -> DataFrame:
+    """(group, slot, count): in how many chunks each slot occurs; slot -1 counts the chunks.
+
+    Counts of disjoint sets of chunks add up, so they can follow a changing collection.
+    """
+    group = F.col(by).cast("string") if by else F.lit(None).cast("string")
+    seen = F.array_distinct("slots" if "slots" in chunks.columns else F.transform(F.array_distinct(terms(F.col(text))), slot))
+    # Never empty, so the outer explode gives the same rows and no size filter.
+    present = F.array_append(seen, F.lit(_EVERY_CHUNK))
+    return chunks.select(group.alias("group"), F.explode_outer(present).alias("slot")).groupBy("group", "slot").count()
+
+
 @dataclass
 class HashedIdf:
     """Feature hashing weighted by inverse document frequency.
 
     `fit` counts, in one aggregation, how many chunks hold each slot; `encode` adds
-    the vectors row by row without a shuffle. With `by`, each value of that column
-    (a configuration name) gets its own frequencies.
+    the vectors row by row without a shuffle. Both use a column `slots` where there is
+    one. With `by`, each value of that column (a configuration name) gets its own
+    frequencies; for a value that was not fitted every term counts alike.
     """
 
     dim: int = 256
@@ -66,57 +84,42 @@ class HashedIdf:
     weights: dict[str | None, np.ndarray] = field(default_factory=dict)
 
     def fit(self, chunks: DataFrame, text: str = "text") -> "HashedIdf":
-        group = F.col(self.by) if self.by else F.lit(None).cast("string")
-        # Never empty, so the outer explode gives the same rows and no size filter.
-        seen = F.array_distinct(F.transform(F.array_distinct(terms(F.col(text))), slot))
-        present = F.array_append(seen, F.lit(_EVERY_CHUNK))
-        counts = (
-            chunks.select(group.alias("group"), F.explode_outer(present).alias("slot"))
-            .groupBy("group", "slot")
-            .count()
-            .toPandas()
-        )
+        return self.fit_counts(slot_counts(chunks, self.by, text))
+
+    def fit_counts(self, counts: DataFrame) -> "HashedIdf":
+        """From (group, slot, count), as `slot_counts` gives them: a table of fixed size."""
+        rows = counts.toPandas()
         self.weights = {}
-        for name, rows in counts.groupby("group", dropna=False):
+        for name, own in rows.groupby("group", dropna=False):
             frequency = np.zeros(SLOTS)
-            seen = rows[rows["slot"] >= 0]
+            seen = own[own["slot"] >= 0]
             frequency[seen["slot"].to_numpy()] = seen["count"].to_numpy()
-            total = rows.loc[rows["slot"] == _EVERY_CHUNK, "count"].sum()
+            total = own.loc[own["slot"] == _EVERY_CHUNK, "count"].sum()
             self.weights[name if self.by else None] = np.log((total + 1) / (frequency + 1))
+        if not self.by and not self.weights:
+            self.weights = {None: np.zeros(SLOTS)}  # fitted on nothing: log(1 / 1)
         return self
 
-    def _weights_of(self, group: str | None) -> np.ndarray:
+    def encode(self, df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
         if not self.weights:
             raise ValueError("the encoder has not been fitted")
-        # A configuration without chunks has no frequencies: every term counts alike.
-        return self.weights.get(group, np.ones(SLOTS))
-
-    def encode(self, df: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
-        dim = self.dim
-        if not self.by:
-            weights = self._weights_of(None)
-
-            @F.arrow_udf("array<float>")
-            def vectors(ids: pa.Array) -> pa.Array:
-                return _hash_rows(ids, weights, dim)
-
-            return df.withColumn(out, vectors(slots(F.col(text))))
-
-        names = sorted(self.weights)
-        table = np.vstack([self._weights_of(n) for n in names] + [np.zeros(SLOTS)]).ravel()
-        width = SLOTS
-
-        # Slots are moved into the rows of their group in the stacked weight table.
-        place = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(self.by)), F.lit(0))
-        place = F.when(place == 0, len(names)).otherwise(place - 1).cast("int")
+        dim, ids = self.dim, F.col("slots") if "slots" in df.columns else slots(F.col(text))
+        names = sorted(self.weights) if self.by else [None]
+        # The last rows are for groups without frequencies.
+        table = np.vstack([self.weights[n] for n in names] + [np.ones(SLOTS)] * bool(self.by)).ravel()
+        shared = df.sparkSession.sparkContext.broadcast(table)
+        if self.by:
+            # Slots are moved into the rows of their group in the stacked weight table.
+            place = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(self.by)), F.lit(0))
+            place = F.when(place == 0, len(names)).otherwise(place - 1).cast("int")
+            ids = F.transform(ids, lambda s: s + place * SLOTS)
 
         @F.arrow_udf("array<float>")
-        def vectors_by(ids: pa.Array) -> pa.Array:
+        def vectors(rows: pa.Array) -> pa.Array:
             # The table's width is a multiple of `dim`, so buckets are unchanged.
-            return _hash_rows(ids, table, dim)
+            return _hash_rows(rows, shared.value, dim)
 
-        shifted = F.transform(slots(F.col(text)), lambda s: s + place * width)
-        return df.withColumn(out, vectors_by(shifted))
+        return df.withColumn(out, vectors(ids))
 
 
 @dataclass

@@ -1,11 +1,17 @@
 """Exact top-k retrieval for whole tables of questions.
 
-The points are the large side and never move: each task streams its own points in
-Arrow batches against a block of questions, keeps the best k per question, and
-sends only those on. So a source, label or cell that holds a large part of all
-points costs no more than any other, and the shuffle carries k rows per question
-and task. Question blocks are bounded (`BLOCK_BYTES`); more questions mean more
-passes over the points, not larger broadcasts.
+Questions without a filter are scored by a nested loop over blocks: points are packed, where
+they lie, into slices, questions into blocks, and every slice meets every block. Points
+never move; Spark sends the blocks to them, or splits the pairs among tasks where the
+blocks are too large to send. A few questions with filter values (`SENT`) go the same way;
+more of them meet their points in an equi-join on these values: a value with many points,
+or with many questions, is split by salts on both sides, so a source, label or cell with a
+third of all rows is many tasks' work.
+
+Either way a pair of a slice and a block sends on the best k ids per question, Spark keeps
+k per task before the shuffle and k after it, and only then are texts and other columns
+fetched, by id. Nothing goes through the driver but numbers of rows and, if there are few,
+the filter values that let the scan skip.
 
 Scores are rounded to nine places before they are compared, and equal scores are
 ordered by id, so ranks do not depend on how the data is partitioned.
@@ -14,7 +20,6 @@ ordered by id, so ranks do not depend on how the data is partitioned.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +33,14 @@ from docquarry.functions.vectors import cosine, literal_vector, squared_l2
 from docquarry.operators.encoding import unit_rows
 from docquarry.session import stage
 
-BLOCK_BYTES = 32 * 1024 * 1024
+#: Questions in a block and points in a slice, at most (by salts: about).
+BLOCK, SLICE = 1024, 4096
+#: Up to so many questions with a filter go to the points; beyond, both are joined.
+SENT = 4 * BLOCK
 SCORE_PLACES = 9
 # Largest score tile that is computed at once (points x questions).
 _TILE = 4_000_000
-_BUFFER = 200_000
-# Up to so many filter values are listed in a predicate that reaches the scan.
+# Up to so many filter values are listed in a predicate, so that the scan can skip.
 _LISTED = 1000
 
 
@@ -48,40 +55,36 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 class _Block:
     """A bounded set of questions, grouped by the values they filter on."""
 
-    def __init__(self, rows: pa.Table, filters: Sequence[str], many: bool, metric: str):
+    def __init__(self, rows: pa.Table, filters: Sequence[str], metric: str):
         self.ids = rows.column("query_id").combine_chunks()
         lists = rows.column("embedding").combine_chunks()
         self.dim = len(lists[0])
         matrix = _matrix(lists, self.dim)
         self.vectors = unit_rows(matrix) if metric == "cosine" else matrix
-        self.metric = metric
-        # Which filter columns a question sets -> wanted values -> its place in the block.
-        self.groups: dict[tuple, dict[tuple, list[int]]] = {}
-        for i, row in enumerate(rows.select(filters).to_pylist() if filters else [{}] * len(rows)):
-            used = tuple(f for f in filters if row[f] is not None)
-            options = [row[f] if many else [row[f]] for f in used]
-            for wanted in product(*options):
-                self.groups.setdefault(used, {}).setdefault(wanted, []).append(i)
+        self.metric, self.filters = metric, filters
+        # Wanted values -> places in the block.
+        self.groups: dict[tuple, list[int]] = {}
+        for i, wanted in enumerate(zip(*(rows.column(f).to_pylist() for f in filters)) if filters else [()] * len(rows)):
+            self.groups.setdefault(wanted, []).append(i)
 
     def matches(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(rows of the batch, questions) that belong together."""
-        for used, wanted in self.groups.items():
-            if not used:
-                yield np.arange(batch.num_rows), np.array(wanted[()])
-                continue
-            columns = [batch.column(f).dictionary_encode() for f in used]
-            code = np.zeros(batch.num_rows, dtype=np.int64)
-            for column in columns:
-                # Nulls share one code, which stands for no value.
-                part = column.indices.fill_null(len(column.dictionary)).to_numpy(zero_copy_only=False)
-                code = code * (len(column.dictionary) + 1) + part
-            order = np.argsort(code, kind="stable")
-            begins = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0]) if len(order) else []
-            for begin, end in zip(begins, [*begins[1:], len(order)]):
-                rows = order[begin:end]
-                key = tuple(c[int(rows[0])].as_py() for c in columns)
-                if key in wanted:
-                    yield rows, np.array(wanted[key])
+        if not self.filters:
+            yield np.arange(batch.num_rows), np.array(self.groups[()])
+            return
+        columns = [batch.column(f).dictionary_encode() for f in self.filters]
+        code = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in columns:
+            # Nulls share one code, which stands for no value.
+            part = column.indices.fill_null(len(column.dictionary)).to_numpy(zero_copy_only=False)
+            code = code * (len(column.dictionary) + 1) + part
+        order = np.argsort(code, kind="stable")
+        begins = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0]) if len(order) else []
+        for begin, end in zip(begins, [*begins[1:], len(order)]):
+            rows = order[begin:end]
+            key = tuple(c[int(rows[0])].as_py() for c in columns)
+            if key in self.groups:
+                yield rows, np.array(self.groups[key])
 
     def scores(self, points: np.ndarray, questions: np.ndarray) -> np.ndarray:
         """Higher is better, for both metrics."""
@@ -93,97 +96,111 @@ class _Block:
         )
         return -np.round(np.maximum(squares, 0.0), SCORE_PLACES)
 
-
-def _best(found: pa.Table, k: int) -> pa.Table:
-    """The first k rows of each question, by score and id."""
-    found = found.sort_by([("q", "ascending"), ("score", "descending"), ("id", "ascending")])
-    q = found.column("q").to_numpy()
-    begins = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-    place = np.arange(len(q)) - np.repeat(begins, np.diff(np.r_[begins, len(q)]))
-    return found.filter(pa.array(place < k))
-
-
-def _scan(block: _Block, k: int, carry: list[str], batches) -> pa.Table | None:
-    """The best k points of one partition for each question of the block."""
-    floor = np.full(len(block.ids), -np.inf)
-    kept: list[pa.Table] = []
-    size = 0
-
-    def compact() -> pa.Table | None:
-        table = _best(pa.concat_tables(kept), k) if kept else None
-        if table is not None:
-            q, score = table.column("q").to_numpy(), table.column("score").to_numpy()
-            full = np.bincount(q, minlength=len(floor)) >= k
-            lowest = np.full(len(floor), np.inf)
-            np.minimum.at(lowest, q, score)
-            floor[full] = lowest[full]
-        return table
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        vectors = _matrix(batch.column("embedding"), block.dim)
+    def best(self, batch: pa.RecordBatch, k: int) -> pa.Table:
+        """(query_id, score, id): the best k of the batch's points for each question."""
+        vectors = _matrix(batch.column("embedding"), self.dim)
         # A vector that is not finite has no distance to anything.
         finite = np.isfinite(vectors).all(axis=1)
         if not finite.all():
             batch, vectors = batch.filter(pa.array(finite)), vectors[finite]
-            if not batch.num_rows:
-                continue
         place_of_id = np.empty(batch.num_rows, dtype=np.int64)
         place_of_id[pc.sort_indices(batch.column("id")).to_numpy()] = np.arange(batch.num_rows)
-        if block.metric == "cosine":
+        if self.metric == "cosine":
             vectors = unit_rows(vectors)
-        for rows, questions in block.matches(batch):
+        found = []
+        for rows, questions in self.matches(batch):
             width = max(1, _TILE // max(1, len(rows)))
-            points = vectors[rows]
             for begin in range(0, len(questions), width):
                 some = questions[begin:begin + width]
-                scores = block.scores(points, some)
-                lowest = floor[some]
+                scores = self.scores(vectors[rows], some)
+                lowest = np.full(len(some), -np.inf)
                 if len(rows) > k:
-                    kth = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
-                    lowest = np.maximum(lowest, kth)
+                    lowest = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
                 at, of = np.nonzero(scores >= lowest)
-                if not len(at):
-                    continue
-                # Of many equal scores the first ids stay, before any text is copied.
+                # Of many equal scores the first ids stay.
                 order = np.lexsort((place_of_id[rows[at]], -scores[at, of], of))
                 begins = np.searchsorted(of[order], of[order])
                 order = order[np.arange(len(order)) - begins < k]
                 at, of = at[order], of[order]
-                picked = batch.select(["id", *carry]).take(pa.array(rows[at]))
-                table = pa.Table.from_batches([picked])
-                table = table.append_column("q", pa.array(some[of]))
-                kept.append(table.append_column("score", pa.array(scores[at, of])))
-                size += len(at)
-                if size > _BUFFER:
-                    kept = [compact()]
-                    size = kept[0].num_rows
-    return compact()
-
-
-def _question_blocks(questions: DataFrame) -> Iterator[pa.Table]:
-    """Questions in blocks of bounded size; the driver holds one block at a time.
-
-    The questions are written once, so that reading them in blocks repeats no work.
-    """
-    written = stage(questions, "questions")
-    size = written.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    limit = max(1, BLOCK_BYTES // (4 * max(1, size[1] or 1)))
-    if size[0] == 0:
-        return
-    if size[0] <= limit:
-        yield written.toArrow()
-        return
-    schema = to_arrow_schema(written.schema)
-    rows: list[dict] = []
-    for row in written.toLocalIterator():
-        rows.append(row.asDict())
-        if len(rows) >= limit:
-            yield pa.Table.from_pylist(rows, schema)
-            rows = []
-    if rows:
-        yield pa.Table.from_pylist(rows, schema)
+                found.append(pa.table([
+                    self.ids.take(pa.array(some[of])), pa.array(scores[at, of]),
+                    batch.column("id").take(pa.array(rows[at]))], names=["query_id", "score", "id"]))
+        return pa.concat_tables(found) if found else _NOTHING
+
+
+_NOTHING = pa.table({"query_id": [], "score": [], "id": []})
+
+
+def _packed(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """Runs of up to so many rows, each as one binary value, where they lie."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, rows):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema) as writer:
+                    writer.write_batch(batch.slice(begin, rows))
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=[name])
+
+    return df.mapInArrow(run, f"{name} binary")
+
+
+def _unpacked(value: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(value.as_buffer()).read_all()
+
+
+def _nested(questions: DataFrame, points: DataFrame, used: list[str], k: int, metric: str, hits: T.StructType) -> DataFrame:
+    """Slices of points and blocks of questions meet, each with each."""
+    arrow = to_arrow_schema(hits)
+    # Written, so that Spark knows whether the blocks are small enough to send around.
+    blocks = stage(_packed(questions.coalesce(1 + questions.count() // BLOCK), BLOCK, "block"), "blocks")
+    slices = _packed(_listed(points.select("id", "embedding", *used), questions, used), SLICE, "points")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block = None, None
+        for batch in batches:
+            for some, asked in zip(batch.column("points"), batch.column("block")):
+                if block is None or not last.equals(asked):
+                    last, block = asked, _Block(_unpacked(asked), used, metric)
+                for part in _unpacked(some).to_batches():
+                    yield from block.best(part, k).cast(arrow).to_batches()
+
+    return slices.crossJoin(blocks).mapInArrow(run, hits)
+
+
+def _joined(questions: DataFrame, points: DataFrame, used: list[str], k: int, metric: str, hits: T.StructType) -> DataFrame:
+    """Questions and points that agree in the `used` columns."""
+    arrow, keys = to_arrow_schema(hits), ["_points", "_questions"]
+    values = questions.groupBy(*used).agg(F.count("*").alias("q"))
+    points = _listed(points.select("id", "embedding", *used), values, used)
+    sizes = points.groupBy(*used).agg(F.count("*").alias("p"))
+    # One row per value that is asked for: into how many parts its points and questions go.
+    split = stage(values.join(sizes, used).select(
+        *used, "p", F.ceil(F.col("p") / SLICE).alias("ps"), F.ceil(F.col("q") / BLOCK).alias("qs")), "filter-values")
+    buckets = 1 + (split.agg(F.sum(F.col("p") * F.col("qs"))).first()[0] or 0) // SLICE
+    split = split.drop("p")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n))
+    bucket = F.pmod(F.xxhash64(*used, *keys), F.lit(buckets)).alias("_bucket")
+    left = questions.join(split, used).select("query_id", "embedding", *used, every("ps").alias(keys[0]), part("query_id", "qs").alias(keys[1]))
+    right = points.join(split, used).select("id", "embedding", *used, part("id", "ps").alias(keys[0]), every("qs").alias(keys[1]))
+    columns = [*used, *keys]
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        if not asked.num_rows or not rows.num_rows:
+            return arrow.empty_table()
+        block = _Block(asked, columns, metric)
+        return pa.concat_tables([block.best(b, k) for b in rows.combine_chunks().to_batches()], promote_options="permissive").cast(arrow)
+
+    return left.select("*", bucket).groupBy("_bucket").cogroup(right.select("*", bucket).groupBy("_bucket")).applyInArrow(run, hits)
+
+
+def _listed(points: DataFrame, values: DataFrame, used: list[str]) -> DataFrame:
+    """The points, with a predicate for the scan on columns that few values are asked of."""
+    for name in used:
+        few = [r[0] for r in values.select(name).distinct().limit(_LISTED + 1).collect()]
+        if len(few) <= _LISTED:
+            points = points.filter(F.col(name).isin(sorted(few)))
+    return points
 
 
 def top_k(
@@ -199,61 +216,45 @@ def top_k(
 
     `filters` names columns of both sides that must be equal; a question with null
     there is not filtered. With `many_values` the question side holds arrays of
-    accepted values. For `l2` the score is the squared distance, smallest first.
+    accepted values; an empty one accepts none. For `l2` the score is the squared
+    distance, smallest first. The id tells which point a carried column is fetched from.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric}")
     filters, carry = list(filters), list(carry)
-    spark = points.sparkSession
-    fields = {f.name: f for f in points.schema.fields}
-    query_field = questions.schema["query_id"]
-    out = T.StructType(
-        [T.StructField("query_id", query_field.dataType), T.StructField("score", T.DoubleType())]
-        + [fields[c] for c in ("id", *carry)]
-    )
-    needed = list(dict.fromkeys(["id", "embedding", *filters, *carry]))
-    parts = []
-    for rows in _question_blocks(questions.select("query_id", "embedding", *filters)):
-        shared = spark.sparkContext.broadcast(rows)
-
-        def run(batches, shared=shared):
-            block = _Block(shared.value, filters, many_values, metric)
-            found = _scan(block, k, carry, batches)
-            if found is None:
-                return
-            ids = block.ids.take(found.column("q").combine_chunks())
-            columns = [ids, found.column("score"), *(found.column(c) for c in ("id", *carry))]
-            hits = pa.table(columns, names=["query_id", "score", "id", *carry])
-            yield from hits.cast(to_arrow_schema(out)).to_batches()
-
-        candidates = points.select(*needed)
+    hits = T.StructType([
+        T.StructField("query_id", questions.schema["query_id"].dataType), T.StructField("score", T.DoubleType()),
+        T.StructField("id", points.schema["id"].dataType)])
+    asked = questions.select("query_id", "embedding", *filters)
+    if many_values:
         for name in filters:
-            candidates = _reachable(candidates, name, rows, many_values)
-        parts.append(candidates.mapInArrow(run, out))
-    if not parts:
-        empty = spark.createDataFrame([], out)
-        parts.append(empty)
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
+            some = F.array_compact(F.array_distinct(name))
+            asked = asked.filter(F.col(name).isNull() | (F.size(some) > 0)).withColumn(name, F.explode_outer(some))
+    asked = stage(asked, "questions")
+    # Which columns a question filters on: at most two to the power of their number.
+    masks = asked.select(*(F.col(f).isNotNull().alias(f) for f in filters)).distinct().collect() if filters else [()]
+    found = None
+    for mask in masks:
+        used = [f for f, is_set in zip(filters, mask) if is_set]
+        some = asked
+        for f in filters:
+            some = some.filter(F.col(f).isNotNull() if f in used else F.col(f).isNull())
+        some = some.select("query_id", "embedding", *used)
+        search = _joined if used and some.count() > SENT else _nested
+        part = search(some, points, used, k, metric, hits)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = points.sparkSession.createDataFrame([], hits)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     score = -F.col("score") if metric == "l2" else F.col("score")
-    return ranked.select("query_id", "rank", "id", score.alias("score"), *carry)
-
-
-def _reachable(points: DataFrame, name: str, rows: pa.Table, many: bool) -> DataFrame:
-    """Points that some question of the block can reach, as a filter the scan can use."""
-    column = rows.column(name)
-    if column.null_count:
-        return points
-    wanted = set(pc.list_flatten(column).to_pylist() if many else column.to_pylist())
-    if len(wanted) <= _LISTED:
-        return points.filter(F.col(name).isin(sorted(wanted)))
-    # No more values than the block has questions, so this side stays small.
-    kind = T.StructType([T.StructField(name, points.schema[name].dataType)])
-    values = points.sparkSession.createDataFrame([(v,) for v in sorted(wanted)], kind)
-    return points.join(F.broadcast(values), name, "left_semi")
+    ranked = ranked.select("query_id", "rank", "id", score.alias("score"))
+    if not carry:
+        return ranked
+    ranked = stage(ranked, "ranked")
+    fetched = points.select("id", *(c for c in carry if c != "id")).join(
+        ranked.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    return ranked.join(fetched, "id").select("query_id", "rank", "id", "score", *carry)
 
 
 def top_k_single(

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docquarry.functions.text import collapse_whitespace
-from docquarry.operators.cells import approximate_top_k, recall
-from docquarry.operators.encoding import HashedIdf, to_points
+from docquarry.operators.cells import Cells, approximate_top_k, read_cells, recall_by_probes
+from docquarry.operators.encoding import HashedIdf, to_points, with_slots
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k, top_k_single
 from docquarry.plans.inputs import (
     DOCS, GOLD, SMALL, chunks, chunks_sql, gold, question_vectors_sql, questions, vectors_sql,
     with_ctes,
 )
 from docquarry.plans.registry import query, rounded, table
+from docquarry.session import scratch_path, stage
 
 
 def centroids(spark, sf_dir):
@@ -85,8 +86,8 @@ def r4(spark, sf_dir):
 
 
 def indexed(spark, sf_dir, configs=None):
-    """(encoder, points) of all documents; one pass to fit, one to encode."""
-    cut = chunks(spark, sf_dir, configs)
+    """(encoder, points) of all documents: cut and hashed once, then fitted and encoded."""
+    cut = stage(with_slots(chunks(spark, sf_dir, configs)), "chunks")
     encoder = HashedIdf(by="config" if configs else None).fit(cut)
     return encoder, to_points(encoder.encode(cut), ids="plain")
 
@@ -187,47 +188,69 @@ def p10(spark, sf_dir):
     return drop_empty_hits(hits).select("query_id", "rank", "id")
 
 
-_PLANES, _RADIUS = 4, 1
-_CELLS = f"""planes AS (
-  SELECT p, list(CASE WHEN substr(md5(p || ':' || i), 1, 1) < '8' THEN 1.0 ELSE -1.0 END::DOUBLE
-    ORDER BY i) AS h
-  FROM range({_PLANES}) AS a(p), range(64) AS b(i) GROUP BY p),
-pcell AS (
-  SELECT id, sum(CASE WHEN list_dot_product(e, h) >= 0 THEN 1 << p::INT ELSE 0 END)::INT AS cell
-  FROM pts, planes GROUP BY id),
+_CELL_COUNT, _PROBES, _ROUNDS = 16, 4, 5
+
+
+def _cells_sql() -> str:
+    """Training, filing and probing; all points are in the sample at the sizes SQL runs on."""
+    near = "round(list_dot_product({0}, c), 9) DESC, cell"
+    ctes = [
+        "unit AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM pts)",
+        f"""cen0 AS (
+  SELECT row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS cell, u AS c FROM unit
+  QUALIFY row_number() OVER (ORDER BY md5(id::VARCHAR), id) <= {_CELL_COUNT})""",
+    ]
+    for k in range(_ROUNDS):
+        ctes.append(f"""own{k} AS (
+  SELECT u, cell FROM unit, cen{k} QUALIFY row_number() OVER (PARTITION BY id ORDER BY {near.format("u")}) = 1),
+sum{k} AS (
+  SELECT cell, i, sum(x) AS x FROM (
+    SELECT cell, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM own{k}) GROUP BY cell, i),
+mean{k} AS (
+  SELECT cell, list(x / l ORDER BY i) AS m FROM (
+    SELECT *, sqrt(sum(x * x) OVER (PARTITION BY cell)) AS l FROM sum{k}) GROUP BY cell),
+cen{k + 1} AS (SELECT cell, coalesce(m, c) AS c FROM cen{k} LEFT JOIN mean{k} USING (cell))""")
+    ctes.append(f"""pcell AS (
+  SELECT id, cell FROM unit, cen{_ROUNDS} QUALIFY row_number() OVER (PARTITION BY id ORDER BY {near.format("u")}) = 1),
 qcell AS (
-  SELECT query_id, sum(CASE WHEN list_dot_product(q, h) >= 0 THEN 1 << p::INT ELSE 0 END)::INT AS cell
-  FROM ask, planes GROUP BY query_id),
+  SELECT query_id, cell, row_number() OVER (PARTITION BY query_id ORDER BY {near.format("q").replace("c)", "c) / sqrt(list_dot_product(q, q))")}) AS nth
+  FROM ask, cen{_ROUNDS}),
 scored AS (
-  SELECT query_id, id, {_COSINE} AS s, bit_count(xor(p.cell, c.cell)) <= {_RADIUS} AS near
-  FROM ask JOIN qcell c USING (query_id), pts JOIN pcell p USING (id)),
-exact AS (
-  SELECT query_id, id FROM scored
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 5),
-approximate AS (
-  SELECT query_id, id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id)::INT AS rank
-  FROM scored WHERE near
-  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 5)"""
-
-
-def _approximate(spark, sf_dir):
-    ask = centroids(spark, sf_dir).withColumnRenamed("label", "query_id")
-    return ask, approximate_top_k(
-        ask, vector_points(spark, sf_dir), dim=64, planes=_PLANES, radius=_RADIUS
-    )
+  SELECT query_id, id, {_COSINE} AS s, nth FROM pts JOIN pcell USING (id) JOIN qcell USING (cell) JOIN ask USING (query_id))""")
+    return ",\n".join(ctes)
 
 
-@query("r7_approximate_top_k", with_ctes(_CENTROIDS, _CELLS) + """
-SELECT query_id, rank, id, round(s, 6) AS score FROM approximate""")
-def r7(spark, sf_dir):
-    return _hits(_approximate(spark, sf_dir)[1])
+def _filed(spark, sf_dir):
+    """(cells, all vectors filed under them, as a table partitioned by cell)."""
+    points, path = vector_points(spark, sf_dir), scratch_path(spark, "cells")
+    cells = Cells.train(points, _CELL_COUNT, rounds=_ROUNDS)
+    cells.write(points, path)
+    return cells, read_cells(spark, path)
 
 
-@query("r7_recall", with_ctes(_CENTROIDS, _CELLS) + """
-SELECT count(*) AS exact_hits, count(a.id) AS found_hits,
-  round(count(a.id) / count(*), 6) AS recall_at_k
-FROM exact LEFT JOIN approximate a USING (query_id, id)""")
+@query("r7_approximate_top_k", with_ctes(_CENTROIDS, _cells_sql()) + f"""
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id)::INT AS rank, id, round(s, 6) AS score
+FROM scored WHERE nth <= {_PROBES} QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 5""")
+def r7(spark, sf_dir):
+    """Each question reads the folders of its nearest cells only."""
+    cells, filed = _filed(spark, sf_dir)
+    ask = centroids(spark, sf_dir).withColumnRenamed("label", "query_id")
+    return _hits(approximate_top_k(ask, filed, cells, probes=_PROBES))
+
+
+@query("r7_recall", with_ctes(_CENTROIDS, _cells_sql()) + f""",
+exact AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) <= 5),
+share AS (
+  SELECT query_id, nth, sum(n) OVER (PARTITION BY query_id ORDER BY nth) / sum(n) OVER (PARTITION BY query_id) AS share
+  FROM qcell JOIN (SELECT cell, count(p.id) AS n FROM cen{_ROUNDS} LEFT JOIN pcell p USING (cell) GROUP BY cell) USING (cell))
+SELECT p::INT AS probes, (SELECT count(*) FROM exact) AS exact_hits, (SELECT count(*) FROM exact WHERE nth <= p) AS found_hits,
+  round((SELECT count(*) FROM exact WHERE nth <= p) / (SELECT count(*) FROM exact), 6) AS recall_at_k,
+  (SELECT round(avg(share), 6) FROM share WHERE nth = p) AS rows_read
+FROM range(1, {_CELL_COUNT + 1}) AS a(p)""")
 def r7_recall(spark, sf_dir):
-    ask, near = _approximate(spark, sf_dir)
+    """What each number of probes finds of the exact hits, and what it reads."""
+    cells, filed = _filed(spark, sf_dir)
+    ask = stage(centroids(spark, sf_dir).withColumnRenamed("label", "query_id"), "centroids")
     exact = top_k(ask, vector_points(spark, sf_dir))
-    return recall(near, exact).withColumn("recall_at_k", rounded("recall_at_k"))
+    curve = recall_by_probes(ask, filed, cells, exact)
+    return curve.withColumns({c: rounded(c) for c in ("recall_at_k", "rows_read")})

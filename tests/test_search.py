@@ -1,11 +1,14 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators import retrieval
-from docquarry.operators.cells import approximate_top_k, recall, with_cells
-from docquarry.operators.encoding import HashedIdf, UserEncoder, to_points
+from docquarry.operators.cells import Cells, approximate_top_k, enough_probes, read_cells, recall, recall_by_probes
+from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points, with_slots
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k, top_k_single
+from docquarry.session import stage
 
 
 @pytest.fixture(scope="module")
@@ -65,14 +68,52 @@ def test_top_k_equals_brute_force(spark, vectors, metric, filtered):
 
 
 def test_small_blocks_tiles_and_buffers(spark, vectors, monkeypatch):
-    """Many question blocks, score tiles and compactions give the same hits."""
-    monkeypatch.setattr(retrieval, "BLOCK_BYTES", 4 * 8 * 5)
+    """Many question blocks, point slices and score tiles give the same hits."""
+    monkeypatch.setattr(retrieval, "BLOCK", 5)
+    monkeypatch.setattr(retrieval, "SLICE", 40)
     monkeypatch.setattr(retrieval, "_TILE", 100)
-    monkeypatch.setattr(retrieval, "_BUFFER", 20)
     p, q = frames(spark, vectors)
     assert ranked(top_k(q, p, 5)) == brute(vectors, 5, "cosine", False)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_joined_questions(spark, vectors, monkeypatch, metric):
+    """Many questions with a filter meet their points in a join; large values are split on
+    both sides, and questions without a filter go the other way."""
+    monkeypatch.setattr(retrieval, "SENT", 2)
+    monkeypatch.setattr(retrieval, "BLOCK", 2)
+    monkeypatch.setattr(retrieval, "SLICE", 30)
+    p, q = frames(spark, vectors)
+    assert ranked(top_k(q, p, 5, metric, filters=["source_file"])) == brute(vectors, 5, metric, True)
+
+
+def test_arrays_of_accepted_values(spark, vectors, monkeypatch):
+    p, _ = frames(spark, vectors)
+    accepted = [["s0", "s2", "s0"], None, [], ["s1", None], ["unknown"]]
+    rows = [(i, vectors[1][i].tolist(), a) for i, a in enumerate(accepted)]
+    q = spark.createDataFrame(rows, "query_id int, embedding array<float>, source_file array<string>")
+    sent = ranked(top_k(q, p, 4, filters=["source_file"], many_values=True))
+    monkeypatch.setattr(retrieval, "SENT", 0)
+    assert ranked(top_k(q, p, 4, filters=["source_file"], many_values=True)) == sent
+    own = {f"p{j:03}": f"s{j % 3}" if j < 290 else None for j in range(300)}
+    order = brute(vectors, 300, "cosine", False)
+    keep = lambda i, ok: [x for x in order[i] if ok(own[x])][:4]
+    assert sent == {0: keep(0, lambda s: s in ("s0", "s2")), 1: keep(1, lambda s: True), 3: keep(3, lambda s: s == "s1")}
+
+
+def test_no_text_is_shuffled_with_the_vectors(spark, sf, capsys):
+    """Texts are fetched by id after the ranking; the search itself never reads them."""
+    data = spark.read.parquet(f"{sf}/embeddings.parquet")
+    points = data.select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("text"))
+    asked = data.filter("vec_id < 3").select(F.col("vec_id").alias("query_id"), "embedding")
+    top_k(asked, points).explain()
+    plan = capsys.readouterr().out
+    assert "label" not in plan and "WindowGroupLimit" in plan
+    hits = top_k(asked, points, carry=["text"])
+    expected = {r.vec_id: str(r.label) for r in data.collect()}
+    assert hits.count() == 15 and all(expected[r.id] == r.text for r in hits.collect())
+
+
 def test_many_filter_values(spark, vectors, monkeypatch):
     """More values than a predicate lists: a semi-join prunes the points."""
     monkeypatch.setattr(retrieval, "_LISTED", 1)
@@ -121,16 +162,43 @@ def test_filter_reaches_the_scan(spark, sf, capsys):
     assert "PushedFilters: [In(label" in capsys.readouterr().out
 
 
-def test_cells_and_recall(spark, vectors):
-    p, q = frames(spark, vectors)
-    q = q.select("query_id", "embedding")
-    exact = top_k(q, p, 5)
-    everything = approximate_top_k(q, p, 8, planes=3, radius=3)
-    assert ranked(everything) == ranked(exact)
-    assert recall(everything, exact).first().recall_at_k == 1.0
-    near = approximate_top_k(q, with_cells(p, 8, 3), 8, planes=3, radius=1)
+@pytest.fixture(scope="module")
+def clustered():
+    """Points around 150 centres, and questions near points."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(150, 24))
+    points = np.repeat(centres, 30, axis=0) + rng.normal(size=(4500, 24)) * 0.25
+    return points.astype(np.float32), (points[::90] + rng.normal(size=(50, 24)) * 0.1).astype(np.float32)
+
+
+def test_few_cells_find_nearly_all(spark, clustered, tmp_path, capsys):
+    """On data with clusters nine tenths of the exact hits lie in a tenth of the points."""
+    points, asked = (
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"{name} long, embedding array<float>")
+        for x, name in zip(clustered, ("id", "query_id")))
+    cells = Cells.train(points, 48, sample=2000)
+    cells.write(points, str(tmp_path / "cells"))
+    filed = read_cells(spark, str(tmp_path / "cells"))
+    assert filed.count() == 4500
+    exact = top_k(asked, points, 5)
+    curve = stage(recall_by_probes(asked, filed, cells, exact), "curve")
+    rows = {r.probes: r for r in curve.collect()}
+    assert rows[48].recall_at_k == 1.0 and rows[48].rows_read == pytest.approx(1.0)
+    probes = enough_probes(curve)
+    assert rows[probes].recall_at_k >= 0.9 and rows[probes].rows_read <= 0.1
+    near = approximate_top_k(asked, filed, cells, probes=probes)
     report = recall(near, exact).first()
-    assert report.exact_hits == 5 * 23 and 0.3 < report.recall_at_k <= 1.0
+    assert (report.exact_hits, report.found_hits) == (rows[probes].exact_hits, rows[probes].found_hits)
+    one = approximate_top_k(asked.filter("query_id = 3"), filed, cells, probes=2)
+    one.explain()
+    assert re.search(r"PartitionFilters: \[cell#\d+ IN", capsys.readouterr().out)
+    assert ranked(approximate_top_k(asked, filed, cells, probes=99)) == ranked(exact)
+
+
+def test_cells_need_points(spark):
+    empty = spark.createDataFrame([(1, [0.0, 0.0])], "id long, embedding array<float>")
+    with pytest.raises(ValueError):
+        Cells.train(empty, 4)
 
 
 def test_hits_as_array_and_empty_hits(spark):
@@ -182,6 +250,28 @@ def test_hashed_idf_by_configuration(spark):
             assert got[name, i] == pytest.approx(expected[i], abs=1e-6)
 
 
+def test_unknown_group_and_unfitted_encoder(spark):
+    df = spark.createDataFrame([("one", "the cat"), ("new", "the cat")], "config string, text string")
+    with pytest.raises(ValueError):
+        HashedIdf(dim=16, by="config").encode(df)
+    fitted = HashedIdf(dim=16, by="config").fit(df.filter("config = 'one'"))
+    found = {r.config: r.embedding for r in fitted.encode(df).collect()}
+    assert sum(x != 0 for x in found["new"]) == 2 and np.linalg.norm(found["new"]) == pytest.approx(1)
+
+
+def test_counts_add_up(spark):
+    """Counts of two halves, put together, fit the same encoder; staged slots too."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["the cat", "the dog", "a dog", ""])], "i int, text string")
+    parts = [slot_counts(df.filter(f"i % 2 = {k}")) for k in (0, 1)]
+    summed = parts[0].unionByName(parts[1]).groupBy("group", "slot").agg(F.sum("count").alias("count"))
+    whole = HashedIdf(dim=16).fit(df)
+    assert (HashedIdf(dim=16).fit_counts(summed).weights[None] == whole.weights[None]).all()
+    staged = stage(with_slots(df), "slots")
+    assert (HashedIdf(dim=16).fit(staged).weights[None] == whole.weights[None]).all()
+    same = lambda d: [r.embedding for r in whole.encode(d).orderBy("i").collect()]
+    assert same(staged) == same(df)
+
+
 def test_user_encoder_batches(spark):
     def load():
         def encode(texts):
