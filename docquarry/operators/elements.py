@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docquarry.functions.html import table_to_markdown
@@ -56,17 +56,28 @@ def prepare_elements(elements: DataFrame) -> DataFrame:
     return normalize_elements(convert_tables(clean_elements(elements)))
 
 
-def stage_counters(elements: DataFrame) -> DataFrame:
-    """Per source file, what each stage keeps; one aggregation over the raw elements."""
+def _counters() -> list:
     kept = F.coalesce(has_text(F.col("text")), F.lit(False))
-    return elements.groupBy("source_file").agg(
+    return [
         F.count("*").alias("processed"),
         F.count_if(~kept).alias("removed"),
         F.count_if(kept).alias("remaining"),
         F.count_if(kept & _is_table()).alias("converted"),
         F.count_if(kept).alias("normalized"),
         F.lit(0).cast("long").alias("skipped"),
-    )
+    ]
+
+
+def stage_counters(elements: DataFrame) -> DataFrame:
+    """Per source file, what each stage keeps; one aggregation over the raw elements."""
+    return elements.groupBy("source_file").agg(*_counters())
+
+
+def observed(elements: DataFrame) -> tuple[DataFrame, Observation]:
+    """The raw elements, and their counters, which are taken while the elements pass by in
+    the one job that uses them; `observation.get` has the totals afterwards."""
+    seen = Observation("stages")
+    return elements.observe(seen, *(c for c in _counters()[:-1])), seen
 
 
 def split_failures(df: DataFrame, value: str, error: str) -> tuple[DataFrame, DataFrame]:

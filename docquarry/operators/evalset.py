@@ -11,9 +11,12 @@ from docquarry.operators.generation import sentences
 from docquarry.operators.prompting import qa_prompt
 from docquarry.operators.sequence import with_start
 from docquarry.schemas import QA_ITEMS
+from docquarry.session import stage
 
 # Fixed value: how much of a document goes into a question prompt.
 PROMPT_CHARACTERS = 4000
+#: Neighbouring pieces of a text that are joined at once.
+FAN_IN = 64
 
 
 def sample_files(files: DataFrame, n: int, seed: str = "0") -> DataFrame:
@@ -53,6 +56,28 @@ def document_heads(elements: DataFrame, max_chars: int = PROMPT_CHARACTERS) -> D
     )
 
 
+def document_texts(elements: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """(source_file, text): the whole text of each file, its non-blank stripped element
+    texts joined by line breaks.
+
+    Pieces are put together level by level, `fan_in` neighbours at a time, so a file of any
+    number of elements is no single group: each level leaves a `fan_in`-th of the pieces,
+    and is a written table.
+    """
+    parts = elements.filter(has_text(F.col("text"))).select(
+        "source_file", "seq", strip(F.col("text")).alias("text"), F.lit(1).alias("n"))
+    pieces = stage(with_start(parts, "source_file", "seq", "n", out="place").drop("seq", "n"), "pieces")
+    left = (pieces.agg(F.max("place")).first()[0] or 0) + 1
+    while left > 1:
+        ordered = F.array_sort(F.collect_list(F.struct("place", "text")))
+        pieces = stage(
+            pieces.groupBy("source_file", F.expr(f"place div {fan_in}").alias("up")).agg(ordered.alias("p"))
+            .select("source_file", F.col("up").alias("place"), F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text")),
+            "pieces")
+        left = -(-left // fan_in)
+    return pieces.select("source_file", "text")
+
+
 def qa_prompts(heads: DataFrame, samples_per_file: int = 5) -> DataFrame:
     return heads.withColumn("prompt", qa_prompt(F.col("head"), samples_per_file))
 
@@ -102,8 +127,12 @@ def parse_qa(replies: DataFrame, output: str = "output") -> tuple[DataFrame, Dat
 
 
 def first_samples(samples: DataFrame, max_samples: int | None) -> DataFrame:
-    """The first samples in file order; none or 0 means all."""
-    return samples.filter(F.col("sample_id") < max_samples) if max_samples else samples
+    """The first samples, in the order of their file and place there, else of their id;
+    none or 0 means all."""
+    if not max_samples:
+        return samples
+    place = ["source_file", "item"] if {"source_file", "item"} <= set(samples.columns) else []
+    return samples.orderBy(*place, "sample_id").limit(max_samples)
 
 
 def _run_hash(w: Column, at: Column, n: Column) -> Column:

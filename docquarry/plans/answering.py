@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docquarry.operators.evalset import (
-    document_heads, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
+    document_heads, document_texts, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
 )
 from docquarry.operators.elements import prepare_elements
 from docquarry.operators.generation import answer, best_sentence, with_models
@@ -14,6 +14,7 @@ from docquarry.operators.retrieval import hits_as_array
 from docquarry.plans.inputs import (
     DOCS, GOLD, LINES, documents, gold, line_elements, questions, terms_sql, with_ctes, words_sql,
 )
+from docquarry.plans.jobs import make_evaluation_set
 from docquarry.plans.registry import query, table
 from docquarry.plans.search import OPEN_HITS, open_hits
 from docquarry.session import stage
@@ -133,6 +134,12 @@ def v2(spark, sf_dir):
     return document_heads(normalized(spark, sf_dir)).select("source_file", "head")
 
 
+@query("v2_document_text", with_ctes(*_HEAD_CTES) + "SELECT source_file, text FROM whole")
+def v2_whole(spark, sf_dir):
+    """The whole text of every file, put together from its elements."""
+    return document_texts(normalized(spark, sf_dir))
+
+
 @query("v3_v5_course_keys", with_ctes(*_HEAD_CTES) + f"""
 SELECT source_file, coursename, coursecode, {_KEY} AS course_key FROM heads""")
 def v3(spark, sf_dir):
@@ -209,3 +216,13 @@ def m8(spark, sf_dir):
     """The first 20 samples in file order: the evaluators' `max_samples`."""
     rows = table(spark, sf_dir, "benchmark").toDF("sample_id", "question")
     return first_samples(rows, 20)
+
+
+@query("m8_first_of_evaluation_set", with_ctes(*_HEAD_CTES, _QA_ITEMS) + """
+SELECT source_file || '#' || item AS sample_id, question FROM qa
+WHERE source_file IN (SELECT source_file FROM docs ORDER BY md5('0' || source_file), source_file LIMIT 12)
+ORDER BY source_file, item LIMIT 7""")
+def m8_chain(spark, sf_dir):
+    """An evaluation set of twelve files, and the first seven of its samples."""
+    samples = make_evaluation_set(normalized(spark, sf_dir), num_files=12, samples_per_file=3)
+    return first_samples(samples, 7).select("sample_id", "question")

@@ -15,6 +15,7 @@ from docquarry.plans.inputs import (
     DOCS, LINES, ITEM_TABLES, SMALL, chunks, chunks_sql, documents, line_elements, item_tables,
     with_ctes,
 )
+from docquarry.plans.jobs import write_prepared
 from docquarry.plans.registry import query, table
 from docquarry.schemas import SAMPLE
 from docquarry.session import scratch_path, spread
@@ -22,7 +23,7 @@ from docquarry.sources.collections import Collection, last_write, merge_points
 from docquarry.sources.elements import (
     elements_from_html, elements_from_json, is_supported, samples_from_json,
 )
-from docquarry.sources.stages import append_progress, load_chunks, remaining, write_stage
+from docquarry.sources.stages import append_progress, in_waves, load_chunks, remaining, write_stage
 
 _CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 _CODE = """CASE WHEN contains(filename, '_') THEN trim(replace(replace(replace(
@@ -117,22 +118,42 @@ def s4(spark, sf_dir):
     return load_chunks(spark, path, SMALL.name).select("config", "source_file", "chunk_id", "text")
 
 
-@query("s5_load_eval_samples", """
-SELECT conv_id || ':' || turn AS sample, 0::BIGINT AS sample_id, text AS question,
-  role AS ground_truth_answer, text AS reference_text, 'conv_' || conv_id AS source_file
-FROM conversations""")
-def s5(spark, sf_dir):
-    """Each turn is written as a one-sample JSON data set and read back."""
+def _sample_files(spark, sf_dir):
+    """Each conversation is written as one JSON data set, a sample for every turn; those
+    whose number seven divides lack the end of the array."""
     sample = F.struct(
         F.col("text").alias("question"), F.col("role").alias("ground_truth_answer"),
-        F.col("text").alias("reference_text"),
-        F.concat(F.lit("conv_"), "conv_id").alias("source_file"),
-    )
-    files = table(spark, sf_dir, "conversations").select(
-        F.concat_ws(":", "conv_id", "turn").alias("sample"),
-        F.to_json(F.array(sample)).alias("content"),
+        F.col("text").alias("reference_text"), F.concat(F.lit("conv_"), "conv_id").alias("source_file"),
     )
-    return samples_from_json(files, keep=["sample"]).select("sample", *SAMPLE.names)
+    # At most as many as a conversation has turns.
+    turns = F.array_sort(F.collect_list(F.struct("turn", F.to_json(sample).alias("json"))))
+    whole = F.array_join(F.transform("turns", lambda t: t["json"]), ",\n")
+    folder = scratch_path(spark, "data-sets")
+    files = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns")).select(
+        F.concat(F.lit("set_"), "conv_id", F.lit(".json")).alias("data_set"),
+        F.concat(F.lit("["), whole, F.when(F.col("conv_id") % 7 == 0, "").otherwise("]\n")).alias("content"))
+    files.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+_TURN_PLACES = """placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations)"""
+
+
+@query("s5_load_eval_samples", with_ctes(_TURN_PLACES) + """
+SELECT 'set_' || conv_id || '.json#' || place AS sample_id, place::INT AS item, text AS question,
+  role AS ground_truth_answer, text AS reference_text, 'conv_' || conv_id AS source_file
+FROM placed WHERE conv_id % 7 <> 0""")
+def s5(spark, sf_dir):
+    samples, _ = samples_from_json(_sample_files(spark, sf_dir))
+    return samples.select("item", *SAMPLE.names)
+
+
+@query("s5_unreadable_sets", """
+SELECT DISTINCT 'set_' || conv_id || '.json' AS data_set FROM conversations WHERE conv_id % 7 = 0""")
+def s5_quarantine(spark, sf_dir):
+    _, bad = samples_from_json(_sample_files(spark, sf_dir))
+    return bad.select("data_set")
 
 
 @query("s6_write_stage", with_ctes(DOCS, chunks_sql(SMALL)) + """
@@ -191,23 +212,37 @@ def s8(spark, sf_dir):
 
 
 @query("s8_collection_upsert", """
-SELECT vec_id AS id, CASE WHEN label = 0 THEN 100 ELSE label END::INT AS label,
+SELECT vec_id AS id, CASE label WHEN 0 THEN 100 WHEN 2 THEN 102 ELSE label END::INT AS label,
   round(embedding[1]::DOUBLE, 6) AS first_part FROM embeddings
 UNION ALL
 SELECT vec_id + 1000000, label, round(embedding[1]::DOUBLE, 6) FROM embeddings WHERE label = 1""")
 def s8_collection(spark, sf_dir):
-    """A stored collection: vectors of one label come again with another label, those of
-    a second label come under new ids."""
+    """A stored collection: vectors of one label come again, twice in the same batch, those
+    of a second one under new ids, and, after the base was compacted, those of a third."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
     collection = Collection(spark, scratch_path(spark, "collections"), "vectors")
     collection.create(vectors.agg(F.max(F.size("embedding"))).first()[0]).upsert(vectors)
-    again = vectors.filter("label = 0").withColumn("label", F.lit(100))
+    again = vectors.filter("label = 0").withColumn("label", F.explode(F.array(F.lit(99), F.lit(100))))
     fresh = vectors.filter("label = 1").withColumn("id", F.col("id") + 1000000)
-    collection.upsert(again.unionByName(fresh))
+    collection.upsert(again.unionByName(fresh), order=F.col("label")).compact()
+    collection.upsert(vectors.filter("label = 2").withColumn("label", F.lit(101)))
+    collection.upsert(vectors.filter("label = 2").withColumn("label", F.lit(102)))
     first = F.round(F.get("embedding", F.lit(0)).cast("double"), 6)
     return collection.read().select("id", "label", first.alias("first_part"))
 
 
+@query("s8_rows_written", """
+SELECT version::INT AS version, rows FROM (
+  SELECT 1 AS version, count(*) AS rows FROM embeddings UNION ALL
+  SELECT 2, count(*) FROM embeddings WHERE label = 0) WHERE rows > 0""")
+def s8_written(spark, sf_dir):
+    """What each write stored: an upsert writes its own points, not the collection again."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    collection = Collection(spark, scratch_path(spark, "collections"), "vectors")
+    collection.create(vectors.agg(F.max(F.size("embedding"))).first()[0]).upsert(vectors)
+    return collection.upsert(vectors.filter("label = 0")).written()
+
+
 @query("s9_resume", with_ctes(DOCS) + """
 SELECT source_file, lang FROM docs ANTI JOIN labels USING (doc_id)""")
 def s9(spark, sf_dir):
@@ -219,6 +254,28 @@ def s9(spark, sf_dir):
     return remaining(work, spark.read.parquet(path))
 
 
+@query("s9_waves", with_ctes(DOCS) + """
+SELECT source_file, length(text) AS characters FROM docs""")
+def s9_waves(spark, sf_dir):
+    """A run that dies after its first waves, and one that takes up what is left: every
+    file is measured once."""
+    work = documents(spark, sf_dir).select("source_file", "text")
+    path, schema, waves = scratch_path(spark, "progress"), "source_file string, characters long", []
+
+    def measure(wave):
+        if len(waves) == 2:
+            raise ConnectionError("the service is down")
+        waves.append(wave)
+        return wave.select("source_file", F.length("text").cast("long").alias("characters"))
+
+    size = 1 + work.count() // 4
+    try:
+        in_waves(work, measure, path, schema, size)
+    except ConnectionError:
+        waves.clear()
+    return in_waves(work, lambda wave: wave.select("source_file", F.length("text").cast("long").alias("characters")), path, schema, size)
+
+
 @query("p1_drop_blank", with_ctes(DOCS, LINES) + """
 SELECT source_file, seq::BIGINT AS seq FROM lines WHERE regexp_matches(text, '\\S')""")
 def p1(spark, sf_dir):
@@ -284,6 +341,22 @@ def p8(spark, sf_dir):
     return stage_counters(line_elements(spark, sf_dir).unionByName(item_tables(spark, sf_dir)))
 
 
+@query("p8_observed_totals", with_ctes(DOCS, LINES, ITEM_TABLES, """raw AS (
+  SELECT text, 'NarrativeText' AS type FROM lines UNION ALL SELECT text, type FROM item_tables)""") + """
+SELECT count(*) AS processed, count(*) FILTER (NOT regexp_matches(text, '\\S')) AS removed,
+  count(*) FILTER (regexp_matches(text, '\\S')) AS remaining, count(*) FILTER (type = 'Table') AS converted,
+  count(*) FILTER (regexp_matches(text, '\\S')) AS normalized, 0::BIGINT AS skipped,
+  count(*) FILTER (regexp_matches(text, '\\S')) AS written
+FROM raw""")
+def p8_observed(spark, sf_dir):
+    """The totals of a run, counted while its elements were written, and the rows it wrote."""
+    raw = line_elements(spark, sf_dir).unionByName(item_tables(spark, sf_dir))
+    path = scratch_path(spark, "normalized")
+    totals = write_prepared(raw, path)
+    return spark.read.parquet(path).agg(F.count("*").alias("written")).select(
+        *(F.lit(n).cast("long").alias(c) for c, n in totals.items()), "written")
+
+
 @query("p9_source_filter", with_ctes(DOCS, chunks_sql(SMALL)) + """
 SELECT source_file, chunk_id, text FROM chunks JOIN (SELECT 'doc_' || doc_id AS source_file
   FROM labels WHERE quality = 1) USING (source_file)""")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docquarry.operators.answer_metrics import leaderboard, score_answers
 from docquarry.operators.chunking import ChunkConfig, chunk_elements
-from docquarry.operators.elements import prepare_elements, stage_counters
+from docquarry.operators.elements import observed, prepare_elements, stage_counters
 from docquarry.operators.encoding import HashedIdf, UserEncoder, to_points
 from docquarry.operators.evalset import (
     PROMPT_CHARACTERS, document_heads, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
@@ -25,7 +25,7 @@ from docquarry.operators import retrieval_metrics
 from docquarry.session import stage
 from docquarry.sources.collections import Collection
 from docquarry.sources.elements import elements_from_json, read_json_files
-from docquarry.sources.stages import append_progress, remaining
+from docquarry.sources.stages import in_waves
 
 Encoder = HashedIdf | UserEncoder
 
@@ -43,6 +43,13 @@ def prepare_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     return prepare_elements(elements), stage_counters(elements), unreadable
 
 
+def write_prepared(elements: DataFrame, path: str) -> dict[str, int]:
+    """Write the normalised elements; returns the stage counters, taken in the same pass."""
+    passing, counters = observed(elements)
+    prepare_elements(passing).write.parquet(path)
+    return {**counters.get, "skipped": 0}
+
+
 def chunk(elements: DataFrame, configs: list[ChunkConfig]) -> DataFrame:
     """Chunks of normalised elements under every configuration."""
     parts = [chunk_elements(elements, c) for c in configs]
@@ -71,7 +78,7 @@ def index(
         if first is None:
             raise ValueError("no chunks to index")
         dim = first[0]
-    collection.create(dim, metric, part_by="source_file").upsert(points, replace_sources=replace_sources)
+    collection.create(dim, metric).upsert(points, replace_sources=replace_sources)
     return encoder
 
 
@@ -116,42 +123,36 @@ def ask(
 def make_evaluation_set(
     elements: DataFrame, num_files: int = 5, samples_per_file: int = 5,
     generator: UserGenerator | None = None, seed: str = "0", progress: str | None = None,
-    max_chars: int = PROMPT_CHARACTERS,
+    max_chars: int = PROMPT_CHARACTERS, wave: int = 64,
 ) -> DataFrame:
     """Samples (sample_id, question, ground_truth_answer, reference_text, source_file) of
     sampled files, as the evaluators take them. Replies are asked for once and written.
 
-    With `progress`, finished files are kept in that table, and a rerun skips them.
-    A file whose call failed is not finished.
+    With `progress`, files go in waves of about `wave`, and each wave's replies are
+    appended to that table before the next one is asked for: a run that dies loses one wave
+    at most, and a rerun asks only for what is missing. A file whose call failed is not
+    finished; one whose reply held no usable pair is, and has no samples.
     """
     files = elements.select("source_file").distinct()
     if files.isEmpty():
         raise ValueError("no normalised files found")
     files = sample_files(files, num_files, seed)
-    kept = None
+
+    def replied(files: DataFrame) -> DataFrame:
+        """(source_file, output) of the calls that did not fail."""
+        heads = document_heads(elements.join(files, "source_file", "left_semi"), max_chars)
+        prompts = qa_prompts(heads, samples_per_file)
+        if generator is None:
+            return prompts.select("source_file", native_qa_output(F.col("head"), samples_per_file).alias("output"))
+        calls = generator.run(prompts, "prompt", "reply").filter(F.col("reply.error").isNull())
+        return calls.select("source_file", F.col("reply.answer").alias("output"))
+
     if progress:
-        spark = elements.sparkSession
-        schema = (
-            "source_file string, item int, question string, ground_truth_answer string,"
-            " reference_text string"
-        )
-        # An empty append makes the table readable on the first run.
-        append_progress(spark.createDataFrame([], schema), progress)
-        kept = spark.read.schema(schema).parquet(progress)
-        files = remaining(files, kept.select("source_file").distinct())
-    prompts = qa_prompts(
-        document_heads(elements.join(files, "source_file", "left_semi"), max_chars), samples_per_file
-    )
-    if generator is None:
-        replies = prompts.withColumn("output", native_qa_output(F.col("head"), samples_per_file))
+        replies = in_waves(stage(files, "files"), replied, progress, "source_file string, output string", wave)
     else:
-        replied = generator.run(prompts, "prompt", "reply")
-        replies = replied.filter(F.col("reply.error").isNull()).withColumn("output", F.col("reply.answer"))
-    samples, _ = parse_qa(stage(replies.select("source_file", "output"), "replies"))
+        replies = stage(replied(files), "replies")
+    samples, _ = parse_qa(replies)
     sample_id = F.concat_ws("#", "source_file", F.col("item").cast("string")).alias("sample_id")
-    if progress:
-        append_progress(samples.select("source_file", "item", "question", "ground_truth_answer", "reference_text"), progress)
-        return spark.read.schema(schema).parquet(progress).select(sample_id, "*")
     return samples.select(sample_id, "*")
 
 

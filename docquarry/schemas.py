@@ -39,7 +39,7 @@ CHUNK = T.StructType([
 QA_ITEMS = "array<struct<question string, answer string, support string>>"
 
 SAMPLE = T.StructType([
-    T.StructField("sample_id", T.LongType()),
+    T.StructField("sample_id", T.StringType()),
     T.StructField("question", T.StringType()),
     T.StructField("ground_truth_answer", T.StringType()),
     T.StructField("reference_text", T.StringType()),

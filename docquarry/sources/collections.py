@@ -1,25 +1,28 @@
-"""Keyed vector collections: Parquet parts plus a small append-only log.
-
-Points are stored in a fixed number of parts, by a hash of one column that the id
-determines (the id itself, or the source file of a chunk). An upsert reads and writes
-only the parts its points fall into, in a fresh folder, then appends one log row per
-part; that append is what makes the new version visible. A job that dies before it
-leaves the old version in place. One writer per collection at a time. Where a table
-format with row-level updates is installed, `MERGE INTO` can replace `upsert`.
+"""Keyed vector collections: Parquet deltas plus a small append-only log.
+
+An upsert writes its own points, once each, as one delta, then appends one log row; that
+append is what makes the new version visible. A job that dies before it leaves the old
+version in place. A read takes the newest row of each id: rows of the base whose id comes
+again in a delta are left out (an anti-join with the deltas' ids), and among deltas the
+latest version counts, so a read pays for the deltas, not for the base again. `compact`
+turns what is read into the new base; call it when the deltas have grown to a good part
+of the base. One writer per collection at a time. Where a table format with row-level
+updates is installed, `MERGE INTO` can replace `upsert`.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METRICS = ("cosine", "l2")
-_PART = "collection_part"
-_LOG = "version int, part int, path string, dim int, metric string, part_by string, parts int"
+_VERSION, _GONE = "collection_version", "collection_gone"
+_LOG = "version int, kind string, path string, dim int, metric string"
 
 
 def check_dimension(embedding: Column, dim: int) -> Column:
@@ -62,14 +65,13 @@ def merge_points(
 
 @dataclass(frozen=True)
 class _State:
-    """What the log says: properties, the newest version, and where each part lies."""
+    """What the log says: properties, the newest version, the base, and the deltas since."""
 
     version: int
     dim: int
     metric: str
-    part_by: str
-    parts: int
-    paths: dict[int, str]
+    base: tuple[int, str] | None
+    deltas: list[tuple[int, str, bool]]
 
 
 class Collection:
@@ -84,16 +86,17 @@ class Collection:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        # At most one row per part, plus one (part -1) for the creation.
-        newest = log.groupBy("part").agg(F.max_by(F.struct(*log.columns), "version").alias("row"))
-        rows = [r.row for r in newest.collect()]
+        # One row per write since the last compaction, plus one for the creation.
+        rows = sorted(log.collect())
         if not rows:
             return None
-        made = next(r for r in rows if r.part == -1)
-        return _State(
-            max(r.version for r in rows), made.dim, made.metric, made.part_by, made.parts,
-            {r.part: r.path for r in rows if r.path},
-        )
+        bases = [(r.version, r.path) for r in rows if r.kind == "base"]
+        base = bases[-1] if bases else None
+        deltas = [
+            (r.version, r.path, r.kind == "replace") for r in rows
+            if r.kind in ("delta", "replace") and (base is None or r.version > base[0])
+        ]
+        return _State(rows[-1].version, rows[0].dim, rows[0].metric, base, deltas)
 
     def _known(self) -> _State:
         state = self._state()
@@ -101,84 +104,91 @@ class Collection:
             raise ValueError(f"no collection {self.name}")
         return state
 
-    def _append(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.folder}/log"
-        )
+    def _append(self, *row) -> None:
+        self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
 
     def exists(self) -> bool:
         return self._state() is not None
 
-    def create(
-        self, dim: int, metric: str = "cosine", part_by: str = "id", parts: int = 64
-    ) -> "Collection":
-        """Create if missing. An existing collection must have the same dimension.
+    def has_points(self) -> bool:
+        state = self._state()
+        return state is not None and (state.base is not None or bool(state.deltas))
 
-        `part_by` must be a column that the id determines, or an id could live in two
-        parts. More parts make small upserts cheaper and files smaller.
-        """
+    def create(self, dim: int, metric: str = "cosine") -> "Collection":
+        """Create if missing. An existing collection must have the same dimension and metric."""
         if metric not in METRICS:
             raise ValueError(f"unknown metric {metric}")
         state = self._state()
         if state is None:
-            self._append([(0, -1, "", dim, metric, part_by, parts)])
-        elif state.dim != dim:
-            raise ValueError(f"collection {self.name} holds {state.dim} dimensions, not {dim}")
-        elif (state.metric, state.part_by, state.parts) != (metric, part_by, parts):
+            self._append(0, "made", "", dim, metric)
+        elif (state.dim, state.metric) != (dim, metric):
             raise ValueError(
-                f"collection {self.name} was made for {state.metric}, {state.parts} parts by {state.part_by}"
+                f"collection {self.name} holds {state.dim} dimensions for {state.metric}, not {dim} for {metric}"
             )
         return self
 
     def properties(self) -> dict:
         state = self._known()
-        return {"dim": state.dim, "metric": state.metric, "version": state.version}
+        return {"dim": state.dim, "metric": state.metric, "version": state.version, "deltas": len(state.deltas)}
+
+    def _load(self, version: int, path: str) -> DataFrame:
+        return self.spark.read.parquet(path).withColumn(_VERSION, F.lit(version))
 
     def read(self) -> DataFrame:
+        """The newest row of each id, without the rows of sources that were replaced since."""
         state = self._known()
-        if not state.paths:
+        base = self._load(*state.base) if state.base else None
+        deltas = [self._load(version, path) for version, path, _ in state.deltas]
+        if base is None and not deltas:
             raise ValueError(f"collection {self.name} holds no points")
-        return self.spark.read.parquet(*state.paths.values())
+        if not deltas:
+            return base.drop(_VERSION)
+        changed = reduce(DataFrame.unionByName, deltas)
+        replaced = [d.select("source_file", _VERSION) for d, (_, _, all_of_it) in zip(deltas, state.deltas) if all_of_it]
+        if replaced:
+            gone = reduce(DataFrame.unionByName, replaced).groupBy("source_file").agg(F.max(_VERSION).alias(_GONE))
+            changed, base = (rows and _without(rows, gone) for rows in (changed, base))
+        newest = last_write(changed, F.col(_VERSION))
+        if base is not None:
+            ids = reduce(DataFrame.unionByName, [d.select("id") for d in deltas]).distinct()
+            newest = base.join(ids, "id", "left_anti").unionByName(newest)
+        return newest.drop(_VERSION)
 
     def upsert(
         self, points: DataFrame, order: Column | None = None, replace_sources: bool = False
     ) -> "Collection":
-        """Insert or replace by id. `order` says which row of an id is the newest;
-        without it, one of them is kept."""
+        """Insert or replace by id: the batch is written, once, as a delta. `order` says
+        which row of an id is the newest; without it, one of them is kept. With
+        `replace_sources`, earlier points of a source that comes again no longer count."""
         state = self._known()
-        if replace_sources and state.part_by not in ("id", "source_file"):
-            raise ValueError("replace_sources needs parts by id or by source_file")
         # One row per id is stored; without an order, equal inputs still give equal results.
         points = last_write(points, F.xxhash64(*points.columns) if order is None else order)
-        part = F.pmod(F.xxhash64(F.col(state.part_by).cast("string")), F.lit(state.parts)).cast("int")
-        batch = f"{self.folder}/points-{uuid.uuid4().hex}"
         points = points.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))
-        merged, touched = points.withColumn(_PART, part), []
-        if state.paths:
-            # Written once: the batch is read for the parts it touches and for the merge.
-            merged.write.parquet(f"{batch}/arrived")
-            merged = self.spark.read.schema(merged.schema).parquet(f"{batch}/arrived")
-            touched = [r[0] for r in merged.select(_PART).distinct().collect()]
-            if touched and replace_sources and state.part_by != "source_file":
-                # The stale points of a source may lie in any part.
-                touched = sorted({*touched, *state.paths})
-            old = [state.paths[p] for p in touched if p in state.paths]
-            if old:
-                existing = self.spark.read.parquet(*old).withColumn(_PART, part)
-                merged = merge_points(existing, merged, replace_sources=replace_sources)
-        # Rebalancing gives each part few files and splits a part that is very large.
-        merged.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{batch}/parts")
-        # A part can lose its last point, and then has no files.
-        written = self.spark.read.schema(merged.schema).parquet(f"{batch}/parts").select(_PART)
-        filled = {r[0] for r in written.distinct().collect()}
-        touched = touched or sorted(filled)
-        if not touched:
-            return self
-        self._append([
-            (
-                state.version + 1, p, f"{batch}/parts/{_PART}={p}" if p in filled else "",
-                state.dim, state.metric, state.part_by, state.parts,
-            )
-            for p in touched
-        ])
+        path = f"{self.folder}/points-{uuid.uuid4().hex}"
+        points.write.parquet(path)
+        if not self.spark.read.schema(points.schema).parquet(path).isEmpty():
+            self._append(state.version + 1, "replace" if replace_sources else "delta", path, state.dim, state.metric)
         return self
+
+    def compact(self) -> "Collection":
+        """Write what is read now as the new base, so that reads stop paying for deltas."""
+        state = self._known()
+        if state.deltas:
+            path = f"{self.folder}/points-{uuid.uuid4().hex}"
+            self.read().write.parquet(path)
+            self._append(state.version + 1, "base", path, state.dim, state.metric)
+        return self
+
+    def written(self) -> DataFrame:
+        """(version, rows): how many rows each write since the last compaction holds."""
+        state = self._known()
+        counts = [self._load(version, path).groupBy(F.col(_VERSION).alias("version")).agg(F.count("*").alias("rows"))
+                  for version, path, _ in state.deltas]
+        empty = self.spark.createDataFrame([], "version int, rows long")
+        return reduce(DataFrame.unionByName, counts, empty)
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose source was not replaced after their version."""
+    later = (rows["source_file"] == gone["source_file"]) & (rows[_VERSION] < gone[_GONE])
+    return rows.join(gone, later, "left_anti")

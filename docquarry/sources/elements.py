@@ -72,12 +72,9 @@ def elements_from_html(df: DataFrame, source_file: Column, html: Column) -> Data
 
 
 def read_json_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_file, content) of every JSON file of a folder."""
-    return (
-        spark.read.text(folder, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("content"))
-        .filter(F.col("source_file").endswith(".json"))
-    )
+    """(source_file, content) of every JSON file of a folder. Spark lists no file of zero bytes."""
+    return spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).select(
+        F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("content"))
 
 
 def split_json_array(content: Column) -> Column:
@@ -117,9 +114,23 @@ def elements_from_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return elements, quarantine
 
 
-def samples_from_json(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Evaluation samples from JSON arrays; the place in the array is the sample id."""
+def samples_from_json(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(samples, quarantine) from (data_set, content) rows, one JSON array of samples each.
+
+    A sample's id is its data set and its place there, so ids of several sets differ; `item`
+    is the place. Data sets that hold no array go to quarantine; items that are not
+    objects keep their place and become samples without text.
+    """
     item = "struct<question string, ground_truth_answer string, reference_text string, source_file string>"
-    keep = keep or []
-    items = unnest(files, keep, F.from_json("content", f"array<{item}>"), "_p", "_s")
-    return items.select(*keep, F.col("_p").cast("long").alias("sample_id"), "_s.*")
+    parsed = files.select("data_set", "content", split_json_array(F.col("content")).alias("_items"))
+    quarantine = parsed.filter(F.col("_items").isNull()).select("data_set", "content")
+    items = unnest(parsed, ["data_set"], F.col("_items"), "_p", "_raw").withColumn("_s", F.from_json("_raw", item))
+    samples = items.select(
+        F.concat_ws("#", "data_set", F.col("_p").cast("string")).alias("sample_id"),
+        "data_set", F.col("_p").cast("int").alias("item"), "_s.*")
+    return samples, quarantine
+
+
+def read_samples(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(samples, quarantine) of all evaluation sets of a folder."""
+    return samples_from_json(read_json_files(spark, folder).withColumnRenamed("source_file", "data_set"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docquarry.operators.answer_metrics import judged, leaderboard, long_form, score_answers
 from docquarry.operators.evalset import (
-    containing_files, document_heads, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
+    containing_files, document_heads, document_texts, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
 )
 from docquarry.operators.generation import UserGenerator, answer, best_sentence, with_models
 from docquarry.operators.prompting import ANSWER_PROMPT, answer_prompt, context_of, fill
@@ -169,6 +169,28 @@ def test_generator_stops_when_the_service_is_down(spark):
     assert [going[f"p{i}"].answer for i in range(5)] == ["P0", "P1", None, "P3", "P4"]
 
 
+def test_whole_texts(spark):
+    """Files of one, many and no usable elements, put together level by level."""
+    draw = __import__("random").Random(3)
+    rows = [("long", i, draw.choice(["", " ", "x", f" word {i} "])) for i in range(700)] + [("one", 5, " a\nb "), ("none", 0, " ")]
+    df = spark.createDataFrame(rows, "source_file string, seq long, text string").repartition(5)
+    expected = {}
+    for f, _, t in rows:
+        if t.strip():
+            expected.setdefault(f, []).append(t.strip())
+    for fan_in in (2, 64):
+        found = document_texts(df, fan_in).collect()
+        assert {r.source_file: r.text for r in found} == {f: "\n".join(t) for f, t in expected.items()} and len(found) == 2
+    assert document_texts(df.limit(0)).count() == 0
+
+
+def test_first_samples_by_name(spark):
+    rows = [(f"{f}#{i}", f, i) for f in ("b", "a") for i in range(12)]
+    df = spark.createDataFrame(rows, "sample_id string, source_file string, item int")
+    assert [r.sample_id for r in first_samples(df, 13).collect()] == [f"a#{i}" for i in range(12)] + ["b#0"]
+    assert first_samples(df, None).count() == 24
+
+
 def test_first_samples(spark):
     df = spark.range(10).toDF("sample_id")
     assert [first_samples(df, n).count() for n in (None, 0, 3, 99)] == [10, 10, 3, 10]

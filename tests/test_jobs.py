@@ -4,13 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docquarry.operators.chunking import ChunkConfig
-from docquarry.operators.encoding import HashedIdf, UserEncoder
+from docquarry.operators.chunking import ChunkConfig, chunk_documents
+from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts
 from docquarry.operators.generation import UserGenerator
 from docquarry.plans import jobs
 from docquarry.session import scratch_path
 from docquarry.sources.collections import Collection
-from docquarry.streaming.refresh import refresh
+from docquarry.streaming.refresh import _follow, current_counts, reencode, refresh
 
 TOPICS = {
     "Algebra_M1": "groups rings fields modules ideals homomorphisms kernels quotients",
@@ -140,6 +140,51 @@ def test_evaluation_set_resumes(spark, prepared):
     assert run(False).count() == 3 and log.value == 4
 
 
+def test_evaluation_set_outlives_a_dead_run(spark, prepared):
+    """The run dies after some waves; their files are kept and not asked for again."""
+    progress, log = scratch_path(spark, "evalset"), spark.sparkContext.accumulator(0)
+
+    def generator(deadly):
+        def load():
+            def call(prompt, t, n):
+                log.add(1)
+                if "pollen" in prompt and deadly:
+                    raise SystemExit("the worker is gone")
+                return "no array" if "flour" in prompt else json.dumps([{"question": "q", "answer": "a", "support": "s"}])
+
+            return call
+
+        return UserGenerator(load)
+
+    def run(deadly):
+        return jobs.make_evaluation_set(prepared[0], num_files=3, generator=generator(deadly), progress=progress, wave=1)
+
+    try:
+        run(True)
+    except Exception:  # noqa: BLE001 - the job is lost; what was done is not
+        pass
+    kept = {r.source_file for r in spark.read.parquet(progress).collect()}
+    assert "Botany_B2.json" not in kept
+    before = log.value
+    assert {r.source_file for r in run(False).collect()} == {"Algebra_M1.json", "Botany_B2.json"}
+    assert log.value - before == 3 - len(kept)
+    assert run(False).count() == 2 and log.value - before == 3 - len(kept)
+
+
+def test_a_small_run_of_an_evaluation_set(spark, prepared, retriever):
+    made = jobs.make_evaluation_set(prepared[0], num_files=3, samples_per_file=3)
+    assert jobs.evaluate_retrieval(made, retriever, k=3, max_samples=2).first().total_samples == 2
+
+
+def test_written_and_counted_at_once(spark, prepared):
+    raw = spark.createDataFrame([("f", i, t) for i, t in enumerate(["a", " ", "b"])], "source_file string, seq long, text string")
+    raw = raw.selectExpr("source_file", "seq", "'Title' AS type", "text", "struct('A_1.pdf' AS filename, string(null) AS text_as_html) AS metadata")
+    path = scratch_path(spark, "prepared")
+    assert jobs.write_prepared(raw, path) == {
+        "processed": 3, "removed": 1, "remaining": 2, "converted": 0, "normalized": 2, "skipped": 0}
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_user_encoder_in_a_job(spark, prepared):
     load = lambda: lambda texts: np.array([[len(t), t.count("e"), 1.0] for t in texts])
     chunks = jobs.chunk(prepared[0], [ChunkConfig("a", 8, 2), ChunkConfig("b", 16, 4)])
@@ -173,3 +218,25 @@ def test_refresh(spark, tmp_path):
     expected = {("a", 0, "one"), ("b", 0, "x y z"), ("c", 0, "new")}
     assert run() == expected
     assert run() == expected
+
+
+def test_frequencies_follow(spark, tmp_path):
+    """After deliveries, replacements and a repeated batch the counts are those of what is there."""
+    source, config = str(tmp_path / "in"), ChunkConfig("c", 4, 1)
+    collection = Collection(spark, scratch_path(spark, "streams"), "f").create(16)
+    first = spark.createDataFrame([("a", "one two three four five six"), ("b", "x y")], "source_file string, text string")
+    second = spark.createDataFrame([("a", "one two"), ("c", "x new new")], "source_file string, text string")
+    encoder, counts, checkpoint = HashedIdf(dim=16).fit(first), scratch_path(spark, "counts"), scratch_path(spark, "stream")
+    for batch in (first, second):
+        batch.coalesce(1).write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(batch.schema).parquet(source)
+        refresh(arriving, collection, encoder, config, checkpoint, frequencies=counts).awaitTermination()
+    followed = lambda: {(r["slot"], r["count"]) for r in current_counts(spark, counts).collect()}
+    fresh = {(r["slot"], r["count"]) for r in slot_counts(collection.read()).collect()}
+    assert followed() == fresh
+    # The batch comes again, its counts and points are there already.
+    _follow(chunk_documents(second, F.col("source_file"), F.col("text"), [config]), collection, counts, 1, True)
+    assert followed() == fresh
+    fitted = HashedIdf(dim=16).fit_counts(current_counts(spark, counts))
+    texts = {r.text: r.embedding for r in reencode(collection, fitted).read().collect()}
+    assert texts == {r.text: r.embedding for r in fitted.encode(collection.read().drop("embedding")).collect()} and len(texts) == 3

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from docquarry.session import scratch_path, shared_folder
 from docquarry.sources.collections import Collection, last_write
 from docquarry.sources.elements import (
     elements_from_html, elements_from_json, elements_from_text, list_raw, read_json_files,
-    require_supported, samples_from_json,
+    read_samples, require_supported,
 )
-from docquarry.sources.stages import append_progress, load_chunks, remaining, write_stage
+from docquarry.sources.stages import append_progress, in_waves, load_chunks, remaining, write_stage
 
 
 def test_list_raw(spark, tmp_path):
@@ -106,11 +107,17 @@ def test_text_and_html(spark):
     ]
 
 
-def test_samples_from_json(spark):
-    data = [{"question": f"q{i}", "ground_truth_answer": "a", "reference_text": "r", "source_file": "s"} for i in range(3)]
-    df = spark.createDataFrame([("x", json.dumps(data))], "source_file string, content string")
-    rows = samples_from_json(df).orderBy("sample_id").collect()
-    assert [(r.sample_id, r.question) for r in rows] == [(0, "q0"), (1, "q1"), (2, "q2")]
+def test_samples_from_json(spark, tmp_path):
+    data = [{"question": f"q{i}", "ground_truth_answer": "a", "reference_text": "r", "source_file": "s"} for i in range(12)]
+    (tmp_path / "x.json").write_text(json.dumps(data) + "\n")
+    (tmp_path / "y.json").write_text("[3, " + json.dumps(data[0]) + "]")
+    (tmp_path / "broken.json").write_text(json.dumps(data)[:-1])
+    (tmp_path / "blank.json").write_text("\n")
+    (tmp_path / "notes.txt").write_text("[]")
+    samples, bad = read_samples(spark, str(tmp_path))
+    rows = {r.sample_id: r.question for r in samples.collect()}
+    assert rows == {**{f"x.json#{i}": f"q{i}" for i in range(12)}, "y.json#0": None, "y.json#1": "q0"}
+    assert {r.data_set for r in bad.collect()} == {"broken.json", "blank.json"}
 
 
 def test_stage_tables(spark):
@@ -130,6 +137,31 @@ def test_progress(spark):
     assert [r[0] for r in remaining(work, spark.read.parquet(path)).collect()] == ["b"]
 
 
+def test_waves(spark):
+    """A run that dies in its second wave keeps the first; the rerun does only the rest."""
+    path, schema = scratch_path(spark, "waves"), "source_file string, n long"
+    work = spark.createDataFrame([(f"f{i}",) for i in range(40)] + [("no row",)], "source_file string")
+    done = []
+
+    def do(wave, last):
+        if len(done) == last:
+            raise RuntimeError("gone")
+        done.append({r[0] for r in wave.collect()})
+        return wave.filter("source_file <> 'no row'").withColumn("n", F.lit(1))
+
+    with pytest.raises(RuntimeError):
+        in_waves(work, lambda wave: do(wave, 1), path, schema, 10)
+    assert {r.source_file for r in spark.read.parquet(path).collect()} == done[0] - {"no row"}
+    first = done.pop()
+    found = in_waves(work, lambda wave: do(wave, 99), path, schema, 10)
+    assert sorted(r.source_file for r in found.collect()) == sorted(f"f{i}" for i in range(40))
+    assert not first & set.union(*done) - {"no row"} and len(done) > 1
+    done.clear()
+    assert in_waves(work, lambda wave: do(wave, 99), path, schema, 10).count() == 40
+    assert done == [{"no row"}]
+    assert in_waves(work.limit(0), lambda wave: do(wave, 0), path, schema, 10).count() == 0
+
+
 def test_split_failures(spark):
     df = spark.createDataFrame([(1, "v", None), (2, None, "bad")], "i int, value string, error string")
     good, bad = split_failures(df, "value", "error")
@@ -154,7 +186,7 @@ def test_collection(spark):
     with pytest.raises(ValueError):
         collection.properties()
     collection.create(2).create(2)
-    assert collection.properties() == {"dim": 2, "metric": "cosine", "version": 0}
+    assert collection.properties() == {"dim": 2, "metric": "cosine", "version": 0, "deltas": 0}
     with pytest.raises(ValueError):
         Collection(spark, root, "c").create(3)
     with pytest.raises(ValueError):
@@ -171,6 +203,27 @@ def test_collection(spark):
     assert Collection(spark, root, "c").properties()["version"] == 4
 
 
+def test_deltas(spark):
+    """Reads equal a plain replay of the writes, before and after compaction."""
+    draw = random.Random(4)
+    collection, kept = Collection(spark, scratch_path(spark, "collections"), "deltas").create(2), {}
+    for step in range(7):
+        rows = [(f"{draw.choice('abcd')}{draw.randrange(6)}", step * 100 + i, i) for i in range(draw.randrange(1, 6))]
+        replaced = step in (2, 5)
+        collection.upsert(points(spark, rows), order=F.col("at"), replace_sources=replaced)
+        if replaced:
+            gone = {i[0] for i, _, _ in rows}
+            kept = {i: v for i, v in kept.items() if i[0] not in gone}
+        kept |= {i: v for i, v, _ in rows}
+        assert values(collection) == kept and collection.read().count() == len(kept)
+        assert collection.written().orderBy(F.desc("version")).first().rows == len({r[0] for r in rows})
+        if step == 3:
+            assert values(collection.compact()) == kept and collection.properties()["deltas"] == 0
+    assert collection.compact().compact().properties()["version"] == 9
+    with pytest.raises(ValueError):
+        collection.create(2, "l2")
+
+
 def test_wrong_dimension_leaves_the_collection_alone(spark):
     collection = Collection(spark, scratch_path(spark, "collections"), "d").create(2)
     collection.upsert(points(spark, [("a1", 1, 1)]))
