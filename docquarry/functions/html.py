@@ -24,20 +24,29 @@ ANY_TAG = r"<[^>]*>"
 # Control characters that carry the element kind past the tag removal.
 HEADING_MARK = "\u0001"
 ITEM_MARK = "\u0002"
-# The public HTML entities; a hard space is an ordinary one here.
-_NAMED = json.dumps({f"&{name}": c for name, c in html5.items() if name.endswith(";")} | {"&nbsp;": " "})
+# The public HTML entities by their first letter; a hard space is an ordinary one here.
+_PUBLIC = {f"&{name}": c for name, c in html5.items() if name.endswith(";")} | {"&nbsp;": " "}
+_NAMED = json.dumps({
+    letter: {name: c for name, c in _PUBLIC.items() if name[1] == letter} for letter in sorted({name[1] for name in _PUBLIC})
+})
+# Those that nearly all texts use, which are looked at first.
+_COMMON = ("&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;")
 _ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _character(entity: Column) -> Column:
     """What an entity stands for; unknown ones stay as they are."""
-    named = F.element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), entity)
+    letters = F.from_json(F.lit(_NAMED), "map<string,map<string,string>>")
+    named = F.element_at(F.element_at(letters, F.substring(entity, 2, 1)), entity)
     digits = F.regexp_extract(entity, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
     base = F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
     code = F.when(entity.startswith("&#"), base.try_cast("int"))
     good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     numbered = F.when(code == 160, " ").when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-    return F.coalesce(named, numbered, entity)
+    common = F.when(F.lit(False), "")
+    for name in _COMMON:
+        common = common.when(entity == name, _PUBLIC[name])
+    return common.otherwise(F.coalesce(named, numbered, entity))
 
 
 def unescape(text: Column) -> Column:
@@ -114,17 +123,26 @@ def _with_rule(lines: Column, first_row: Column) -> Column:
     )
 
 
+# Where something else than a row or a table tag follows a row, a table tag or the start.
+_LOOSE = (
+    r"(?i)(?:^|</tr\s*>|</?(?:table|thead|tbody|tfoot)\b[^>]*>)\s*"
+    r"(?!\s|<tr\b|</?(?:table|thead|tbody|tfoot)\b|$)"
+)
+
+
 def table_to_markdown(html: Column) -> Column:
     """A Markdown table. Without a header row a blank one is put first; text outside of
     the rows, such as a caption, goes before the table. Rows and cells of an inner table
     follow as rows and cells of the outer one."""
     bare = collapse_whitespace(F.regexp_replace(html, INLINE_TAG, ""))
     bare = F.regexp_replace(bare, r"([*_])", r"\\$1")
-    rows = F.regexp_extract_all(bare, F.lit(ROW), F.lit(1))
-    outside = collapse_whitespace(unescape(F.regexp_replace(F.regexp_replace(bare, ROW, " "), ANY_TAG, " ")))
-    before = F.when(outside != "", F.concat(outside, F.lit("\n\n"))).otherwise("")
+    outside = lambda b: collapse_whitespace(unescape(F.regexp_replace(F.regexp_replace(b, ROW, " "), ANY_TAG, " ")))
+    before = lambda b: F.when(b.rlike(_LOOSE), once(
+        outside(b), lambda o: F.when(o != "", F.concat(o, F.lit("\n\n"))).otherwise(""))).otherwise("")
     plain = collapse_whitespace(unescape(F.regexp_replace(html, ANY_TAG, " ")))
     table = lambda r: once(
         _table_lines(r), lambda lines: F.array_join(_with_rule(lines, F.get(r, F.lit(0))), "\n")
     )
-    return once(rows, lambda r: F.when(F.size(r) > 0, F.concat(before, table(r))).otherwise(plain))
+    return once(bare, lambda b: once(
+        F.regexp_extract_all(b, F.lit(ROW), F.lit(1)),
+        lambda r: F.when(F.size(r) > 0, F.concat(before(b), table(r))).otherwise(plain)))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from docquarry.functions.text import words
 from docquarry.operators.sequence import with_start
+from docquarry.session import stage
 
 
 @dataclass(frozen=True)
@@ -137,11 +138,11 @@ def chunk_elements(elements: DataFrame, config: ChunkConfig) -> DataFrame:
 
     Each element learns the place of its first token in the file, then sends every
     chunk it touches its own slice. Groups are single chunks, so none exceeds
-    `chunk_size` tokens, however long its file is.
+    `chunk_size` tokens, however long its file is. Tokens are made once, in a written
+    table; the running totals read only their numbers.
     """
-    tokens = elements.select(
-        "source_file", "seq", config.tokenizer.encode(F.col("text")).alias("tokens")
-    ).withColumn("n", F.size("tokens"))
+    encoded = elements.select("source_file", "seq", config.tokenizer.encode(F.col("text")).alias("tokens"))
+    tokens = stage(encoded, "tokens").withColumn("n", F.size("tokens"))
     placed = with_start(tokens.filter("n > 0"), "source_file", "seq", "n", total="total")
     last = chunk_count(F.col("total"), config) - 1
     size, step = config.chunk_size, config.step

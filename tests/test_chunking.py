@@ -116,3 +116,16 @@ def test_running_start(spark, lengths, block):
     assert {r.total for r in rows} == {sum(lengths)}
     early = with_start(df, "g", "o", "n", before=12, block=block).orderBy("o").collect()
     assert [r.o for r in early] == [i for i in range(len(lengths)) if sum(lengths[:i]) < 12]
+
+
+def test_each_text_is_encoded_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(text):
+        calls.add(1)
+        return [len(w) for w in text.split()]
+
+    config = ChunkConfig("own", 4, 1, user_tokenizer(encode, lambda ids: " ".join("x" * n for n in ids)))
+    rows = [(f"f{i % 3}", i, "a bb ccc") for i in range(12)]
+    chunks = chunk_elements(spark.createDataFrame(rows, "source_file string, seq long, text string"), config)
+    assert {r.text for r in chunks.collect()} >= {"x xx xxx x"} and calls.value == 12
