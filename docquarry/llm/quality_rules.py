@@ -28,8 +28,6 @@ from docquarry.llm.common import SPACE, let, own, refuse_clash, text_of, words
 from docquarry.session import stage
 
 COMMON_SHARE = 0.005
-#: Common words have so many characters at most; longer ones count as other words.
-COMMON_LENGTH = 4
 RESULTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
     "char_distance", "word_distance", "kept",
@@ -99,12 +97,11 @@ def jensen_shannon(p: Column, q: Column) -> Column:
     return F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total / 2)))
 
 
-def _short(w: Column) -> Column:
-    return F.filter(w, lambda x: F.length(x) <= COMMON_LENGTH)
-
-
 def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """(lang, char_ref, common, word_ref): one row per language with enough text."""
+    """(lang, char_ref, common, longest, word_ref): one row per language with enough text.
+
+    `longest` is the length of the longest common word; no longer word needs a look-up.
+    """
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_of().alias("text"))
     rows = rows.filter(F.length("text") > 0)
     shares = let(_unusual(F.col("text")), lambda x: _shares(F.array(*_classes(x)), F.length("text")))
@@ -113,13 +110,14 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.sum("n").alias("total"),
     )
     totals = stage(chars.filter(F.col("total") >= limits.reference_words), "quality-totals")
-    counts = rows.select("lang", F.explode(_short(words(F.col("text")))).alias("word")).groupBy("lang", "word").count()
+    counts = rows.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy("lang", "word").count()
     common = counts.join(totals, "lang").filter(F.col("count") >= COMMON_SHARE * F.col("total"))
     lists = common.groupBy("lang").agg(F.sort_array(F.collect_list(
         F.struct("word", (F.col("count") / F.col("total")).alias("share")))).alias("x"))
     return stage(
         totals.join(lists, "lang").select(
             "lang", "char_ref", F.col("x.word").alias("common"),
+            F.array_max(F.transform("x.word", F.length)).alias("longest"),
             # The last share is that of all other words.
             F.concat(F.col("x.share"), F.array(1 - F.aggregate("x.share", F.lit(0.0), lambda a, b: a + b))).alias("word_ref"),
         ),
@@ -127,14 +125,15 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def _common_shares(w: Column, common: Column) -> Column:
+def _common_shares(w: Column, common: Column, longest: Column) -> Column:
     """The text's shares of the common words, and of all others last.
 
     Words become their places in the list; sorted, with one of each place put in between,
     the counts are the distances between the places' first positions.
     """
     k = F.size(common)
-    places = F.concat(F.transform(_short(w), lambda x: F.array_position(common, x).cast("int")), F.sequence(F.lit(0), k))
+    looked_up = F.filter(w, lambda x: F.length(x) <= longest)
+    places = F.concat(F.transform(looked_up, lambda x: F.array_position(common, x).cast("int")), F.sequence(F.lit(0), k))
     first = lambda s: F.transform(F.sequence(F.lit(1), k), lambda j: F.array_position(s, j))
     ends = lambda s, f: F.transform(f, lambda at, j: F.coalesce(F.get(f, j + 1), F.size(s) + 1) - at - 1)
     shares = lambda c: F.concat(
@@ -155,7 +154,7 @@ def _measures(text: Column, ref: str, limits: Limits) -> Column:
         _words_of_repeated_windows(w).cast("long").alias("n_repeat_words"),
         F.when(judged(w), jensen_shannon(_shares(c, F.length(text)), F.col(f"{ref}.char_ref"))).alias("char_distance"),
         F.when(judged(w), jensen_shannon(
-            _common_shares(w, F.col(f"{ref}.common")), F.col(f"{ref}.word_ref"))).alias("word_distance"),
+            _common_shares(w, F.col(f"{ref}.common"), F.col(f"{ref}.longest")), F.col(f"{ref}.word_ref"))).alias("word_distance"),
     ))))
 
 
@@ -166,7 +165,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), reference: DataFra
     """
     reference = references(docs, limits) if reference is None else reference
     lang, ref, m = own("lang"), own("ref"), own("m")
-    ref_columns = F.struct("char_ref", "common", "word_ref").alias(ref)
+    ref_columns = F.struct("char_ref", "common", "longest", "word_ref").alias(ref)
     base = refuse_clash(docs, *RESULTS)
     joined = base.withColumn(lang, F.coalesce("lang", F.lit("und"))).join(
         reference.select(F.col("lang").alias(lang), ref_columns), lang, "left")

@@ -71,7 +71,7 @@ shares AS (
 totals AS (SELECT lang, sum(n_words) AS total FROM n GROUP BY lang HAVING sum(n_words) >= 20000),
 char_ref AS (SELECT lang, k, avg(p) AS q FROM shares WHERE size > 0 GROUP BY lang, k),
 common AS (
-  SELECT lang, word, count(*) / any_value(total) AS q FROM w JOIN totals USING (lang) WHERE length(word) <= 4
+  SELECT lang, word, count(*) / any_value(total) AS q FROM w JOIN totals USING (lang)
   GROUP BY lang, word HAVING count(*) >= 0.005 * any_value(total)),
 char_js AS (
   SELECT r, sqrt(least(1, greatest(0, sum({_JS}) / 2))) AS x FROM shares JOIN char_ref USING (lang, k) GROUP BY r),
