@@ -128,10 +128,11 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_colu
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_column: str = "doc_id") -> DataFrame:
     """One document of each group, with all columns: one with the group's smallest id.
 
-    Among rows that share that id, the text's hash decides; of equal rows one stays.
+    Among rows that share that id, the hash of all columns decides; of equal rows one stays.
     """
     key = own("key")
-    keyed = docs.withColumn(key, F.xxhash64(F.col(id_column), F.coalesce("text", F.lit(""))))
+    hashed = [F.col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    keyed = docs.withColumn(key, F.xxhash64(*hashed))
     groups = simhash_groups(keyed.select(id_column, key, "text"), shingle, max_bits, id_column)
     best = groups.filter(F.col(id_column).eqNullSafe(F.col("component_id"))).groupBy("component_key").agg(
         F.min(key).alias(key))

@@ -414,3 +414,32 @@ def test_documents_of_ids(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == sorted([*listed, *listed])
     named = docs.selectExpr("cast(doc_id AS string) AS doc_id", "text")
     assert kneser_ney._of_ids(named, ids.selectExpr("cast(doc_id AS string) AS doc_id")).count() == 2 * len(listed)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages_on_awkward_tables(spark, sf, awkward, empty):
+    """Nulls, repeated rows, no `n_chars`, foreign columns; each stage on its own, and no rows at all."""
+    long_text = " ".join(f"word{i} item{7 * i} thing{3 * i} number{i}." for i in range(40))
+    good = [(9100, long_text, "en"), (9100, long_text, "en"), (9101, long_text + " Write to jane.doe@example.org now.", None)]
+    extra = spark.createDataFrame([(*r, "src", "?", 7, "a", "b", 1, 2) for r in good], awkward.drop("n_chars").schema)
+    docs = awkward.drop("n_chars").unionByName(extra)
+    docs = docs.filter("false") if empty else docs
+    rows = {}
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        found = function(spark, docs, sf)
+        assert found.columns == docs.columns
+        rows[name] = sorted(map(str, found.collect()))
+    packed = corpus_pipeline.packing(spark, docs, sf).collect()
+    if empty:
+        assert not any(rows.values()) and not packed
+        return
+    given = sorted(map(str, docs.collect()))
+    assert [r for r in rows["quality_rules"] if "doc_id=9100" in r] == [r for r in given if "doc_id=9100" in r]
+    assert not any(f"doc_id={i}," in r for r in rows["quality_rules"] for i in (9000, 9001, 9002, 9003))
+    kept = rows["simhash_near_dedup"]
+    assert len(kept) == len(set(kept)) < len(given) and set(kept) <= set(given)
+    assert sum("doc_id=9004" in r or "doc_id=9003" in r for r in kept) == 1
+    assert rows["benchmark_decontamination"] == given
+    assert sum("jane.doe@example.org" in r for r in rows["pii"]) == 0 and len(rows["pii"]) == len(given)
+    assert sum("text=None" in r for r in rows["pii"]) == 1
+    assert sum(r["piece"] == 0 for r in packed) == len(given)
