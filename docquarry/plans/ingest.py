@@ -368,21 +368,16 @@ def p9(spark, sf_dir):
     return chunks(spark, sf_dir).join(wanted, "source_file").select("source_file", "chunk_id", "text")
 
 
-def _ages(spark, sf_dir):
-    value = F.get_json_object("props", "$.k").try_cast("int")
-    odd = F.col("event_type") == "error"
-    bad = F.when(odd, F.concat(F.lit("no number in "), "event_type"))
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.when(~odd, value).alias("value"), bad.alias("error")
-    )
-
-
 @query("p11_failure_isolation", """
-SELECT event_id, CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'good' END AS side,
-  CASE WHEN event_type <> 'error' THEN try_cast(props->>'$.k' AS INT) END AS value
-FROM events""")
+WITH d AS (SELECT doc_id, regexp_extract(text, '([0-9]+)', 1) AS found FROM documents),
+n AS (SELECT doc_id, found, try_cast(found AS INT) AS value FROM d)
+SELECT doc_id, CASE WHEN value IS NULL THEN 'quarantine' ELSE 'good' END AS side, value,
+  CASE WHEN value IS NULL THEN 'not a whole number: ' || substr(found, 1, 20) END AS error FROM n""")
 def p11(spark, sf_dir):
-    good, bad = split_failures(_ages(spark, sf_dir), "value", "error")
-    return good.select("event_id", F.lit("good").alias("side"), "value").unionByName(
-        bad.select("event_id", F.lit("quarantine").alias("side"), F.lit(None).cast("int").alias("value"))
-    )
+    """The first number of a text: none, or one too large, fails for its row alone."""
+    found = F.regexp_extract("text", "([0-9]+)", 1)
+    read = table(spark, sf_dir, "documents").select("doc_id", found.alias("found")).withColumn("value", F.col("found").try_cast("int"))
+    failed = F.when(F.col("value").isNull(), F.concat(F.lit("not a whole number: "), F.substring("found", 1, 20)))
+    good, bad = split_failures(read.withColumn("error", failed).drop("found"), "value", "error")
+    return good.select("doc_id", F.lit("good").alias("side"), "value", F.lit(None).cast("string").alias("error")).unionByName(
+        bad.select("doc_id", F.lit("quarantine").alias("side"), F.lit(None).cast("int").alias("value"), "error"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.text import collapse_whitespace
 from docquarry.operators.cells import Cells, approximate_top_k, read_cells, recall_by_probes
 from docquarry.operators.encoding import HashedIdf, to_points, with_slots
+from docquarry.operators.quantised import quantised_top_k, with_codes
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k, top_k_single
 from docquarry.plans.inputs import (
     DOCS, GOLD, SMALL, chunks, chunks_sql, gold, question_vectors_sql, questions, vectors_sql,
@@ -77,6 +78,23 @@ def r3(spark, sf_dir):
     return _hits(top_k(ask, vector_points(spark, sf_dir), metric="l2"))
 
 
+def _quantised(spark, sf_dir, metric):
+    """Codes are written as a table; the first pass reads that one only."""
+    ask = stage(centroids(spark, sf_dir).withColumnRenamed("label", "query_id"), "centroids")
+    points = vector_points(spark, sf_dir)
+    return _hits(quantised_top_k(ask, stage(with_codes(points, metric), "codes"), points, metric=metric))
+
+
+@query("r2_quantised_top_k", with_ctes(_CENTROIDS, _ranked_sql(_COSINE, "DESC")))
+def r2_quantised(spark, sf_dir):
+    return _quantised(spark, sf_dir, "cosine")
+
+
+@query("r3_quantised_top_k", with_ctes(_CENTROIDS, _ranked_sql(_L2, "ASC")))
+def r3_quantised(spark, sf_dir):
+    return _quantised(spark, sf_dir, "l2")
+
+
 @query("r4_filtered_top_k", with_ctes(
     _CENTROIDS, _ranked_sql(_COSINE, "DESC", "WHERE query_id = label")))
 def r4(spark, sf_dir):

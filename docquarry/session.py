@@ -35,16 +35,30 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="docquarry-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/docquarry/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so reruns cannot collide."""
-    return f"{shared_folder(spark)}/docquarry/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> bool:
+    """Delete all this application has staged, once its results are written elsewhere.
+
+    Results that were not written yet read these tables; so a job calls this last.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docquarry.operators import retrieval
+from docquarry.operators import quantised, retrieval
 from docquarry.operators.cells import Cells, approximate_top_k, enough_probes, read_cells, recall, recall_by_probes
 from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points, with_slots
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k, top_k_single
@@ -123,6 +123,23 @@ def test_many_filter_values(spark, vectors, monkeypatch):
     assert ranked(top_k(q, p, 5, filters=["source_file"])) == expected
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_codes_give_the_exact_hits(spark, vectors, monkeypatch, metric):
+    """Copies, a zero vector, values of all sizes: the bound keeps every hit, and few others."""
+    monkeypatch.setattr(quantised, "SLICE", 70)
+    points = vectors[0].copy()
+    points[30:60] *= 100
+    p, q = frames(spark, (points, vectors[1]))
+    codes = stage(quantised.with_codes(p, metric), "codes")
+    assert ranked(quantised.quantised_top_k(q, codes, p, 5, metric)) == brute((points, vectors[1]), 5, metric, False)
+    assert ranked(quantised.quantised_top_k(q, codes, p, 400, metric)) == brute((points, vectors[1]), 400, metric, False)
+    # A hundred copies tie, and all of them are looked at; else little more than k.
+    assert quantised.candidates(q, codes, 5, metric).count() < 23 * 125
+    assert codes.select(F.max(F.length("code"))).first()[0] == 8
+    odd = spark.createDataFrame([("n", [float("nan")] * 8)], "id string, embedding array<float>")
+    assert quantised.with_codes(odd).count() == 0
+
+
 def test_k_larger_than_points_and_no_questions(spark, vectors):
     p, q = frames(spark, vectors)
     assert {len(v) for v in ranked(top_k(q, p, 1000)).values()} == {300}

@@ -8,7 +8,8 @@ from docquarry.operators.elements import (
     clean_elements, convert_tables, normalize_elements, prepare_elements, split_failures, stage_counters,
 )
 from docquarry.schemas import ELEMENT
-from docquarry.session import scratch_path, shared_folder
+from docquarry import session
+from docquarry.session import scratch_path, shared_folder, stage
 from docquarry.sources.collections import Collection, last_write
 from docquarry.sources.elements import (
     elements_from_html, elements_from_json, elements_from_text, list_raw, read_json_files,
@@ -241,3 +242,14 @@ def test_last_write(spark):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_staged_tables_are_removed(spark, tmp_path, monkeypatch):
+    """Only what this application staged goes."""
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    other = tmp_path / "docquarry" / "another-application" / "table"
+    other.mkdir(parents=True)
+    staged = stage(spark.range(3), "some")
+    assert staged.count() == 3
+    assert session.remove_staged(spark) and other.exists()
+    assert [p.name for p in (tmp_path / "docquarry").iterdir()] == ["another-application"]
