@@ -16,7 +16,9 @@ the trusted documents, with some slack.
 Edge cases: a null text is empty; empty texts, and languages without trusted text, have no
 perplexity and are kept. Documents without a language are a group of their own. Repeated
 rows get equal results. Columns named like a result are replaced, others are carried
-along. An empty table gives an empty result; without trusted text everything is kept.
+along. An empty table gives an empty result; without trusted text everything is kept. A
+perplexity equal to the threshold is kept. A very long text is scored in its row, with
+some arrays of a number per character.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ is sorted or gathered in one task.
 
 Edge cases: a null text is empty and still has its closing token. Repeated rows are packed
 one by one. Columns named like a result are replaced, others are carried along. An empty
-table gives an empty result.
+table gives an empty result. A very long text is encoded whole, in its row; pieces of
+equal length are interchangeable, so ties may fall either way.
 """
 
 from __future__ import annotations
