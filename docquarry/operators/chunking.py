@@ -174,7 +174,7 @@ def chunk_elements(elements: DataFrame, config: ChunkConfig) -> DataFrame:
 
 # The configurations that are compared.
 COMPARED = [
-    ChunkConfig("minilm_l6_v2_256_26", 256, 26),
-    ChunkConfig("bge_base_v1_5_256_26", 256, 26, WORDS_AND_SIGNS, 512),
-    ChunkConfig("bge_base_v1_5_512_52", 512, 52, WORDS_AND_SIGNS, 512),
+    ChunkConfig("words_256_26", 256, 26),
+    ChunkConfig("signs_256_26", 256, 26, WORDS_AND_SIGNS, 512),
+    ChunkConfig("signs_512_52", 512, 52, WORDS_AND_SIGNS, 512),
 ]
