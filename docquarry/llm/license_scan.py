@@ -1,11 +1,12 @@
 """Licence scans: what a text says itself, and what its directory says.
 
-Lines that speak of a licence are compared with template texts by the cosine of sparse
-TF-IDF vectors: terms of lines meet terms of templates in an equi-join (templates are few
-and fixed, so that side is small by construction). The best template at or above
-`min_cosine` names the line's licence; a document takes its best line. A document whose
-licence lines make up a good part of its words is a licence file, and stands for its
-directory.
+Lines that speak of a licence, and sentences that do and go over several lines, as those
+of a header do, are compared with template texts by the cosine of sparse TF-IDF vectors:
+their terms meet the terms of templates in an equi-join (templates are few and fixed, so
+that side is small by construction). Tags that name a licence by its identifier are
+templates too. The best template at or above `min_cosine` names the passage's licence; a
+document takes its best passage. A document whose licence lines (or sentences, whichever
+are more) make up a good part of its words is a licence file, and stands for its directory.
 
 Documents without a licence of their own inherit from the nearest directory above that
 has a licence file. Ancestors are listed per directory, not per document, so a directory
@@ -44,6 +45,7 @@ TEMPLATES = {
     ],
     "GPL-3.0": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "This work is licensed under the GNU General Public License, version 3.",
     ],
     "LGPL-3.0": ["This library is licensed under the GNU Lesser General Public License, version 3."],
@@ -57,8 +59,16 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal."],
 }
+#: Identifiers in tags; those of the GNU licences say whether later versions count.
+for _name, _texts in TEMPLATES.items():
+    _texts += [f"SPDX-License-Identifier: {_name}{end}" for end in ("", "-only", "-or-later")[:3 if "GPL" in _name else 1]]
 _SPEAKS = r"(?i)licen[sc]|copyright|permission|redistribut|public domain|creative commons|free software|\bCC0?\b"
 _TERM = "[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*"
+#: A line break with the signs of a comment that begin the next line, and two or more in a row.
+_BREAK, _BREAKS = r"\r?\n[\t #/*;%!-]*", r"\r?\n[\t #/*;%!-]*\r?\n[\s#/*;%!-]*"
+_SENTENCE_END = "\x02|(?<=[.:;!?])\x01?\\s+(?=[A-Z])"
+#: No notice is longer than this many characters.
+_LONGEST = 400
 RESULTS = ("own_licence", "own_cosine", "licence_file", "licence", "licence_from")
 
 
@@ -113,24 +123,32 @@ def license_scan(
     """The documents (without their text) with own_licence, own_cosine, licence_file,
     licence (own or inherited) and licence_from (`own`, or the directory's path).
 
-    Lines longer than `max_line` are cut into pieces of that many characters.
+    Longer lines than `max_line` are looked at in pieces of that many characters, which
+    overlap by more than a notice is long; longer sentences are left to their lines.
     """
     row, found, n = own("row"), own("lines"), own("words")
     base = refuse_clash(docs, *RESULTS)
     text = text_of()
-    speaking = F.filter(F.split(text, "\n"), lambda x: x.rlike(_SPEAKS))
-    pieces = F.flatten(F.transform(speaking, lambda x: F.when(F.length(x) <= max_line, F.array(x)).otherwise(
-        F.transform(F.sequence(F.lit(0), F.floor(F.length(x) / max_line).cast("int")),
-                    lambda i: F.substr(x, i * max_line + 1, F.lit(max_line))))))
-    hinted = F.when(text.rlike(_SPEAKS), pieces).otherwise(F.array().cast("array<string>"))
+    speaking = lambda parts: F.filter(parts, lambda x: x.rlike(_SPEAKS))
+    step = max_line - _LONGEST
+    pieces = F.flatten(F.transform(speaking(F.split(text, "\n")), lambda x: F.when(F.length(x) <= max_line, F.array(x)).otherwise(
+        F.transform(F.sequence(F.lit(0), F.floor((F.length(x) - _LONGEST - 1) / step).cast("int")),
+                    lambda i: F.substr(x, i * step + 1, F.lit(max_line))))))
+    # Marks stand for line breaks, so that sentences that cross one can be told.
+    joined_lines = F.regexp_replace(F.regexp_replace(text, _BREAKS, "\x02"), _BREAK, "\x01 ")
+    wrapped = F.filter(speaking(F.split(joined_lines, _SENTENCE_END)), lambda x: F.contains(x, F.lit("\x01")) & (F.length(x) <= max_line))
+    passage = lambda parts, over: F.transform(parts, lambda x: F.struct(x.alias("text"), F.lit(over).alias("wrapped")))
+    none = F.array().cast("array<struct<text:string,wrapped:boolean>>")
+    hinted = F.when(text.rlike(_SPEAKS), F.concat(passage(pieces, False), passage(wrapped, True))).otherwise(none)
     scan = stage(base.select(
         *(c for c in base.columns if c != "text"), F.monotonically_increasing_id().alias(row),
         hinted.alias(found), F.size(words(text)).alias(n)), "license-scan")
-    lines = scan.select(F.col(row).alias("row"), F.posexplode(found).alias("line", "text"))
+    lines = scan.select(F.col(row).alias("row"), F.posexplode(found).alias("line", "p")).select("row", "line", "p.*")
     near = own_licences(lines, min_cosine)
-    sizes = lines.select("row", "line", F.size(words(F.col("text"))).alias("w"))
+    sizes = lines.select("row", "line", "wrapped", F.size(words(F.col("text"))).alias("w"))
+    held = lambda over: F.coalesce(F.sum(F.when(F.col("wrapped") == over, F.col("w"))), F.lit(0))
     per_row = near.join(sizes, ["row", "line"]).groupBy("row").agg(
-        F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"), F.sum("w").alias("w"))
+        F.min(F.struct((-F.col("cosine")).alias("c"), "licence")).alias("b"), F.greatest(held(False), held(True)).alias("w"))
     own_rows = stage(per_row.select(F.col("row").alias(row), F.col("b.licence").alias("own_licence"),
                                     (-F.col("b.c")).alias("own_cosine"), F.col("w").alias(own("w"))), "license-own")
     directory = own("directory")

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from docquarry.llm import decontamination, kneser_ney, language_id, packing, pii, quality_rules, simhash
+from docquarry.llm import license_scan as license_templates
 from docquarry.llm.license_scan import license_scan
 from docquarry.llm.queries import QUERIES, SQL, tokenizer_path
 from docquarry.llm.substring_dedup import difference_cover, repeated_strings
@@ -351,6 +352,47 @@ def test_licences(spark):
     assert found["a/b/v.txt"][0] is None and found["z/w.txt"] == (None, None, None) and found[None] == (None, None, None)
 
 
+def plain_cosine(text, template, texts):
+    """TF-IDF cosine of a passage and a template, as the operator's formula says."""
+    term = lambda t: Counter(re.findall(license_templates._TERM, t.lower()))
+    df = Counter(x for t in texts for x in term(t))
+    weigh = lambda c: {x: (1 + np.log(n)) * (np.log((len(texts) + 1) / (df[x] + 1)) + 1) for x, n in c.items()}
+    a, b = weigh(term(text)), weigh(term(template))
+    norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    return sum(x * b.get(t, 0) for t, x in a.items()) / norm(a) / norm(b)
+
+
+@pytest.mark.parametrize("comment, width", [("", 60), ("# ", 44), (" * ", 72), ("// ", 30)])
+def test_wrapped_notices(spark, comment, width):
+    """Every template, wrapped as a header would be, between other lines, is found under its name."""
+    import textwrap
+
+    rows, expected = [], {}
+    for name, texts in license_templates.TEMPLATES.items():
+        for k, t in enumerate(texts):
+            lines = [t] if t.startswith("SPDX") else textwrap.wrap(t, width, break_on_hyphens=False)
+            lines = [comment + line for line in lines]
+            rows.append((f"{name}/{k}", "\n".join([comment + "Some module of ours.", comment, *lines, comment, "value = 1", "x = 2"])))
+            expected[f"{name}/{k}"] = name
+    rows.append(("prose", "The licence\nof the city. Permission came\nlate in the year. " + "word " * 900))
+    rows.append(("long", "word " * 395 + "Licensed under CC BY-NC 4.0. " + "word " * 700))
+    found = {r["path"]: r["own_licence"] for r in license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found.pop("prose") is None and found.pop("long") is None  # a notice is no tenth of the long line
+    assert found == expected
+
+
+def test_cosines_by_hand(spark):
+    texts = [t for some in license_templates.TEMPLATES.values() for t in some]
+    lines = ["Licensed under the Apache License, Version 2.0 and more", "licensed under CC BY-SA 4.0", "SPDX-License-Identifier: MIT", "Released by us"]
+    df = spark.createDataFrame([(0, i, t) for i, t in enumerate(lines)], "row long, line int, text string")
+    found = {r["line"]: (r["licence"], r["cosine"]) for r in license_templates.own_licences(df, 0.3).collect()}
+    for i, line in enumerate(lines):
+        best = max((round(plain_cosine(line, t, texts), 9), name) for name, some in license_templates.TEMPLATES.items() for t in some)
+        if best[0] >= 0.3:
+            assert found[i][1] == pytest.approx(best[0], abs=1e-8)
+    assert found[2] == ("MIT", 1.0)
+
+
 def test_kneser_ney_adds_up(spark):
     rows = [("en", "abracadabra"), ("en", "the cat sat on the mat"), ("en", "aab")]
     model = kneser_ney.train(spark.createDataFrame(rows, "lang string, text string"))
