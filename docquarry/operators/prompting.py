@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The prompt texts. Answers depend on every character of them.
+# Fixed value: the prompt text. Answers depend on every character of it, as with the three below.
 ANSWER_PROMPT = """
 You are an expert AI assistant for answering questions based on documents.
 
@@ -25,6 +25,7 @@ Question:
 Answer:
 """
 
+# Fixed value: the prompt text.
 QA_PROMPT = """
         You are generating evaluation data for a retrieval-augmented QA system.
 
@@ -53,6 +54,7 @@ QA_PROMPT = """
         {document}
         """
 
+# Fixed value: the prompt text.
 FAITHFULNESS_PROMPT = """
 You are evaluating a RAG system.
 
@@ -74,6 +76,7 @@ Score from 0 to 1:
 Only output a number.
 """
 
+# Fixed value: the prompt text.
 RELEVANCY_PROMPT = """
 Question:
 {question}
