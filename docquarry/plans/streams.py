@@ -13,21 +13,23 @@ from docquarry.sources.collections import Collection
 from docquarry.streaming.refresh import current_counts, refresh
 
 
+#: A micro-batch takes files of about so many bytes, however many files a write is in.
+_BATCH_BYTES = 1 << 30
+
+
 def _refreshed(spark, sf_dir):
-    """(collection, frequencies): documents arrive in four writes, each file a micro-batch; the
-    last write brings again, cut to half their length, the documents that eight divides."""
+    """(collection, frequencies): documents arrive in four writes, and the stream goes on after
+    each; the last write brings again, cut to half their length, the documents that eight divides."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("doc_"), "doc_id").alias("source_file"), "text")
-    folder = scratch_path(spark, "arriving")
-    for part in range(3):
-        docs.filter(F.col("doc_id") % 3 == part).drop("doc_id").write.mode("append").parquet(folder)
-    half = F.expr("substring(text, 1, length(text) div 2)")
-    docs.filter("doc_id % 8 = 0").select("source_file", half.alias("text")).write.mode("append").parquet(folder)
-    # Files come in the order they were written.
-    arriving = spark.readStream.schema("source_file string, text string").option("maxFilesPerTrigger", 1).parquet(folder)
+    half = docs.filter("doc_id % 8 = 0").withColumn("text", F.expr("substring(text, 1, length(text) div 2)"))
+    folder, stream = scratch_path(spark, "arriving"), scratch_path(spark, "stream")
     encoder = HashedIdf().fit(chunks(spark, sf_dir))
     collection = Collection(spark, scratch_path(spark, "collections"), "documents").create(encoder.dim)
     frequencies = scratch_path(spark, "frequencies")
-    refresh(arriving, collection, encoder, SMALL, scratch_path(spark, "stream"), frequencies=frequencies).awaitTermination()
+    for write in [*(docs.filter(F.col("doc_id") % 3 == part) for part in range(3)), half]:
+        write.drop("doc_id").write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema("source_file string, text string").option("maxBytesPerTrigger", _BATCH_BYTES).parquet(folder)
+        refresh(arriving, collection, encoder, SMALL, stream, frequencies=frequencies).awaitTermination()
     return collection, frequencies
 
 

@@ -134,17 +134,29 @@ class Collection:
     def _load(self, version: int, path: str) -> DataFrame:
         return self.spark.read.parquet(path).withColumn(_VERSION, F.lit(version))
 
-    def read(self) -> DataFrame:
-        """The newest row of each id, without the rows of sources that were replaced since."""
+    def read(self, only: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+        """The newest row of each id, without the rows of sources that were replaced since.
+
+        `only` holds some values of columns that an id never changes, such as its source:
+        other rows are left out before the newest are looked for, and with `columns`
+        only these (the id, at least) go through that shuffle.
+        """
         state = self._known()
         base = self._load(*state.base) if state.base else None
         deltas = [self._load(version, path) for version, path, _ in state.deltas]
         if base is None and not deltas:
             raise ValueError(f"collection {self.name} holds no points")
+        replaced = [d.select("source_file", _VERSION) for d, (_, _, all_of_it) in zip(deltas, state.deltas) if all_of_it]
+        if only is not None:
+            keys = only.distinct()
+            base, deltas = base and base.join(keys, keys.columns, "left_semi"), [d.join(keys, keys.columns, "left_semi") for d in deltas]
+        if columns:
+            # A replaced row is told by its source.
+            needed = [*dict.fromkeys([*columns, *(["source_file"] if replaced else [])]), _VERSION]
+            base, deltas = base and base.select(needed), [d.select(needed) for d in deltas]
         if not deltas:
             return base.drop(_VERSION)
         changed = reduce(DataFrame.unionByName, deltas)
-        replaced = [d.select("source_file", _VERSION) for d, (_, _, all_of_it) in zip(deltas, state.deltas) if all_of_it]
         if replaced:
             gone = reduce(DataFrame.unionByName, replaced).groupBy("source_file").agg(F.max(_VERSION).alias(_GONE))
             changed, base = (rows and _without(rows, gone) for rows in (changed, base))

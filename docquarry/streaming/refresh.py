@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docquarry.operators.chunking import ChunkConfig, chunk_documents
-from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points
+from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points, with_slots
 from docquarry.session import stage
 from docquarry.sources.collections import Collection, last_write
 from docquarry.sources.stages import append_progress
@@ -29,7 +29,8 @@ def refresh(
     """Chunk, encode and upsert arriving (source_file, text) rows until the input ends.
 
     The upsert is keyed, so a batch that is delivered again after a failure changes
-    nothing. `newest` names a column that says which version of a document in one
+    nothing. How many batches there are is the stream's affair: each one reads the sources
+    of all points once, so bound a batch by bytes rather than by files. `newest` names a column that says which version of a document in one
     batch is the latest. There is no event time, so no watermark is needed.
 
     With `frequencies`, a table of slot counts follows the collection: each batch appends
@@ -40,7 +41,9 @@ def refresh(
     def apply(batch: DataFrame, number: int) -> None:
         if newest:
             batch = last_write(batch, F.col(newest), key="source_file")
-        cut = stage(chunk_documents(batch, F.col("source_file"), F.col("text"), [config]), "arrived")
+        cut = chunk_documents(batch, F.col("source_file"), F.col("text"), [config])
+        # Terms are hashed once, for the counts and for the vectors.
+        cut = stage(with_slots(cut) if isinstance(encoder, HashedIdf) or frequencies else cut, "arrived")
         if frequencies:
             _follow(cut, collection, frequencies, number, replace_sources)
         points = to_points(encoder.encode(cut)).drop("config")
@@ -64,7 +67,7 @@ def _follow(cut: DataFrame, collection: Collection, path: str, number: int, repl
     if collection.has_points():
         # Chunks are replaced by source, or, chunk by chunk, by their place in the source.
         key = ["source_file"] if replace_sources else ["source_file", "chunk_id"]
-        old = collection.read().join(cut.select(*key).distinct(), key, "left_semi")
+        old = collection.read(only=cut.select(*key), columns=["id", "text"])
         change = change.unionByName(slot_counts(old).select("slot", (-F.col("count")).alias("count")))
     # The slots are a fixed number, so a batch appends a table of bounded size; the marker of a
     # batch without chunks changes nothing.

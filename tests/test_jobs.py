@@ -10,6 +10,7 @@ from docquarry.operators.generation import UserGenerator
 from docquarry.plans import jobs
 from docquarry.session import scratch_path
 from docquarry.sources.collections import Collection
+from docquarry.plans.streams import _refreshed
 from docquarry.streaming.refresh import _follow, current_counts, reencode, refresh
 
 TOPICS = {
@@ -240,3 +241,35 @@ def test_frequencies_follow(spark, tmp_path):
     fitted = HashedIdf(dim=16).fit_counts(current_counts(spark, counts))
     texts = {r.text: r.embedding for r in reencode(collection, fitted).read().collect()}
     assert texts == {r.text: r.embedding for r in fitted.encode(collection.read().drop("embedding")).collect()} and len(texts) == 3
+
+
+def test_batches_do_not_grow_with_files(spark, tmp_path):
+    """The arriving documents make four batches, however many files a write is in; the counts
+    and the points are those of the last version of each document."""
+    rows = [(i, f"common w{i} " + "x y z " * (i % 5)) for i in range(48)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    collection, frequencies = _refreshed(spark, str(tmp_path))
+    assert spark.read.parquet(frequencies).select("batch").distinct().count() == 4
+    assert collection.properties()["deltas"] == 4
+    texts = {r.source_file: r.text for r in collection.read().collect()}
+    assert texts == {f"doc_{i}": " ".join((t[:len(t) // 2] if i % 8 == 0 else t).split()) for i, t in rows}
+    fresh = {(r["slot"], r["count"]) for r in slot_counts(collection.read()).collect()}
+    assert {(r["slot"], r["count"]) for r in current_counts(spark, frequencies).collect()} == fresh
+
+
+def test_read_of_some_sources(spark):
+    """Points of some sources, with some columns: the newest of each id, without replaced ones."""
+    collection = Collection(spark, scratch_path(spark, "some"), "s").create(1)
+    point = lambda i, text, source: (i, [1.0], text, 0, source)
+    write = lambda rows, **how: collection.upsert(
+        spark.createDataFrame(rows, "id string, embedding array<float>, text string, chunk_id int, source_file string"), **how)
+    write([point("a0", "base", "a"), point("b0", "base", "b")]).compact()
+    write([point("a1", "old", "a"), point("b1", "old", "b")])
+    write([point("b1", "new", "b"), point("c0", "new", "c")])
+    write([point("a2", "replaced", "a")], replace_sources=True)
+    wanted = spark.createDataFrame([("a",), ("b",), ("b",), ("z",)], "source_file string")
+    some = collection.read(only=wanted, columns=["id", "text"])
+    found = sorted((r.id, r.text) for r in some.collect())
+    assert found == [("a2", "replaced"), ("b0", "base"), ("b1", "new")]
+    assert found == sorted((r.id, r.text) for r in collection.read().collect() if r.source_file in "ab")
