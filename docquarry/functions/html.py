@@ -31,6 +31,8 @@ _NAMED = json.dumps({
 })
 # Those that nearly all texts use, which are looked at first.
 _COMMON = ("&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;")
+# An entity that is none of these.
+_UNCOMMON = r"&(?!(?:amp|lt|gt|quot|nbsp);)(?:#|[A-Za-z])"
 _ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -51,10 +53,18 @@ def _character(entity: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Named and numeric entities as characters, in one pass: "&amp;lt;" gives "&lt;"."""
-    joined = lambda gaps: F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(
-        F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), _character),
+    joined = lambda t: lambda gaps: F.concat(F.get(gaps, F.lit(0)), F.array_join(F.zip_with(
+        F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(0)), _character),
         F.slice(gaps, F.lit(2), F.size(gaps) - 1), lambda c, gap: F.concat(c, gap)), ""))
-    return F.when(F.contains(text, F.lit("&")), once(F.split(text, _ENTITY), joined)).otherwise(text)
+
+    def common(t: Column) -> Column:
+        # The ampersand goes last, so what it gives is not read again.
+        for name in reversed(_COMMON):
+            t = F.replace(t, F.lit(name), F.lit(_PUBLIC[name]))
+        return t
+
+    return once(text, lambda t: F.when(~F.contains(t, F.lit("&")), t).when(~t.rlike(_UNCOMMON), common(t)).otherwise(
+        once(F.split(t, _ENTITY), joined(t))))
 
 
 def html_blocks(html: Column) -> Column:
@@ -130,12 +140,33 @@ _LOOSE = (
 )
 
 
+# A table of closed rows and cells without attributes, and nothing else. Possessive, so that
+# long tables are matched in a loop.
+_PLAIN_TABLE = r"^<table> ?(?:<tr> ?(?:<t[hd]>[^<>]*+</t[hd]> ?)++</tr> ?)++</table>$"
+
+
+def _plain_table(bare: Column) -> Column:
+    """What `_with_rule` and `_table_lines` make of a `_PLAIN_TABLE`, by passes over the whole."""
+    first_row = F.substring_index(bare, "</tr>", 1)
+    columns = F.size(F.split(first_row, "<t[hd]>")) - 1
+    cells = F.regexp_replace(bare, r" ?<t[hd]> *+([^<>]*?) *+</t[hd]> ?", " $1 |")
+    lines = F.regexp_replace(F.replace(cells, F.lit("<tr>"), F.lit("|")), r"</tr> ?(?:</table>$)?|^<table> ?", "\n")
+    # Every line begins with a break now, the first too, and one is left at the end.
+    rule = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), columns))
+    blank = F.concat(F.lit("|"), F.repeat(F.lit("  |"), columns))
+    with_rule = lambda x: F.when(F.contains(first_row, F.lit("<th>")), F.concat(
+        F.substring_index(F.substr(x, F.lit(2)), "\n", 1), rule, F.substr(x, F.locate("\n", x, 2)))).otherwise(
+        F.concat(blank, rule, x))
+    return unescape(once(lines, lambda x: F.rtrim(with_rule(x), F.lit("\n"))))
+
+
 def table_to_markdown(html: Column) -> Column:
     """A Markdown table. Without a header row a blank one is put first; text outside of
     the rows, such as a caption, goes before the table. Rows and cells of an inner table
     follow as rows and cells of the outer one."""
     bare = collapse_whitespace(F.regexp_replace(html, INLINE_TAG, ""))
-    bare = F.regexp_replace(bare, r"([*_])", r"\\$1")
+    for sign in "*_":
+        bare = F.replace(bare, F.lit(sign), F.lit("\\" + sign))
     outside = lambda b: collapse_whitespace(unescape(F.regexp_replace(F.regexp_replace(b, ROW, " "), ANY_TAG, " ")))
     before = lambda b: F.when(b.rlike(_LOOSE), once(
         outside(b), lambda o: F.when(o != "", F.concat(o, F.lit("\n\n"))).otherwise(""))).otherwise("")
@@ -143,6 +174,6 @@ def table_to_markdown(html: Column) -> Column:
     table = lambda r: once(
         _table_lines(r), lambda lines: F.array_join(_with_rule(lines, F.get(r, F.lit(0))), "\n")
     )
-    return once(bare, lambda b: once(
+    return once(bare, lambda b: F.when(b.rlike(_PLAIN_TABLE), _plain_table(b)).otherwise(once(
         F.regexp_extract_all(b, F.lit(ROW), F.lit(1)),
-        lambda r: F.when(F.size(r) > 0, F.concat(before(b), table(r))).otherwise(plain)))
+        lambda r: F.when(F.size(r) > 0, F.concat(before(b), table(r))).otherwise(plain))))

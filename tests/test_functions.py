@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docquarry.functions.fuzzy import (
     common_subsequence, with_token_set_bounds, with_token_set_match, with_token_set_ratio,
 )
+from docquarry.functions import html
 from docquarry.functions.html import table_to_markdown, unescape
 from docquarry.functions.ids import uuid5
 from docquarry.functions.scores import judge_failed, judge_score, token_f1
@@ -192,3 +193,21 @@ def test_vectors(spark):
     assert list(got[0].u) == pytest.approx([0.6, 0.8]) and list(got[1].u) == [0.0, 0.0]
     assert got[0].c == pytest.approx(24 / 25) and got[1].c == 0.0
     assert got[0].d == pytest.approx(2.0) and math.isclose(got[1].d, 1.0)
+
+
+def test_plain_tables_take_the_same_form(spark):
+    """Tables of plain rows and cells give what the same tables with an attribute give, which are
+    read row by row and cell by cell."""
+    cells = ["", " ", "a", " a  b ", "x | y", "A &amp;lt; &lt;b&gt;", "&eacute;&#65;", "*s* _t_", "colspan='2'", "&amp", "<b>in</b>", "\n1"]
+    row = lambda i, n, tag: "<tr>" + "".join(f"<{tag}>{cells[(i + k) % len(cells)]}</{tag}>\n"[:None if k % 2 else -1] for k in range(n)) + "</tr>"
+    tables = [
+        "<table>" + gap + row(i, n, tag) + gap + "".join(row(i + j + 1, 1 + j % 3, "td") + gap * (j % 2) for j in range(more)) + "</table>"
+        for i in range(len(cells)) for n in (1, 3) for tag in ("td", "th") for more in (0, 1, 4) for gap in ("", "\n ")]
+    tables += ["<table></table>", "<table><tr></tr></table>", "<table>c<tr><td>a</td></tr></table>", "<table><tr><td>a</td></tr>c</table>",
+               "<table><tr>" + "<td>a</td>" * 3000 + "</tr></table>", "<table>" + "<tr><td>a</td></tr>" * 3000 + "</table>"]
+    frame = spark.createDataFrame([(t, t.replace("<table>", "<table id=1>")) for t in tables], "plain string, other string")
+    bare = collapse_whitespace(F.regexp_replace("plain", html.INLINE_TAG, ""))
+    found = frame.select(
+        table_to_markdown(F.col("plain")).alias("a"), table_to_markdown(F.col("other")).alias("b"), bare.rlike(html._PLAIN_TABLE).alias("is_plain")).collect()
+    assert [r.a for r in found] == [r.b for r in found]
+    assert sum(r.is_plain for r in found) == len(tables) - 4
