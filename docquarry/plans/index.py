@@ -8,11 +8,12 @@ from docquarry.functions.ids import chunk_key, uuid5
 from docquarry.functions.text import words
 from docquarry.functions.vectors import l2_normalize, norm
 from docquarry.operators.chunking import COMPARED, WORDS_AND_SIGNS, chunk_elements
-from docquarry.operators.encoding import HashedIdf, to_points
+from docquarry.operators.encoding import HashedIdf, to_points, with_slots
 from docquarry.plans.inputs import (
     DOCS, SMALL, chunks, chunks_sql, documents, line_elements, vectors_sql, with_ctes, words_sql,
 )
 from docquarry.plans.registry import query, rounded, table
+from docquarry.session import stage
 from docquarry.sources.collections import check_dimension, dimension_report
 
 _COMPARED_SQL = [
@@ -76,7 +77,7 @@ SELECT source_file, chunk_id, count(*) FILTER (v <> 0) AS filled, round(sum(v),
   round(sum(v * (b + 1)), 3) AS moment, round(max(v), 5) AS peak
 FROM vec GROUP BY source_file, chunk_id""")
 def e1(spark, sf_dir):
-    cut = chunks(spark, sf_dir)
+    cut = stage(with_slots(chunks(spark, sf_dir)), "chunks")
     embedded = HashedIdf().fit(cut).encode(cut).filter(F.exists("embedding", lambda x: x != 0))
     v = F.transform("embedding", lambda x: x.cast("double"))
     add = lambda t, x: t + x
@@ -140,6 +141,6 @@ def e5(spark, sf_dir):
 @query("e6_points", with_ctes(DOCS, chunks_sql(SMALL)) + """
 SELECT source_file || '_' || chunk_id AS id, text, chunk_id, source_file, 256::INT AS dim FROM chunks""")
 def e6(spark, sf_dir):
-    cut = chunks(spark, sf_dir)
+    cut = stage(with_slots(chunks(spark, sf_dir)), "chunks")
     points = to_points(HashedIdf().fit(cut).encode(cut), ids="plain")
     return points.select("id", "text", "chunk_id", "source_file", F.size("embedding").alias("dim"))
