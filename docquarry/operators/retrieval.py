@@ -1,17 +1,17 @@
 """Exact top-k retrieval for whole tables of questions.
 
-Questions without a filter are scored by a nested loop over blocks: points are packed, where
-they lie, into slices, questions into blocks, and every slice meets every block. Points
-never move; Spark sends the blocks to them, or splits the pairs among tasks where the
-blocks are too large to send. A few questions with filter values (`SENT`) go the same way;
-more of them meet their points in an equi-join on these values: a value with many points,
+Questions without a filter are scored by a nested loop over blocks: every slice of points
+meets every block of questions, and points never move. Up to `SENT` questions, a few blocks,
+are sent to all tasks, which read their points slice by slice. More questions are packed
+rows, as are the slices then, and Spark sends the blocks or splits the pairs among tasks. A
+few questions with filter values go to the points in the same way; more of them meet their points in an equi-join on these values: a value with many points,
 or with many questions, is split by salts on both sides, so a source, label or cell with a
 third of all rows is many tasks' work.
 
 Either way a pair of a slice and a block sends on the best k ids per question, Spark keeps
 k per task before the shuffle and k after it, and only then are texts and other columns
 fetched, by id. Nothing goes through the driver but numbers of rows and, if there are few,
-the filter values that let the scan skip.
+the questions' vectors and the filter values that let the scan skip.
 
 Scores are rounded to nine places before they are compared, and equal scores are
 ordered by id, so ranks do not depend on how the data is partitioned.
@@ -35,7 +35,7 @@ from docquarry.session import stage
 
 #: Questions in a block and points in a slice, at most (by salts: about).
 BLOCK, SLICE = 1024, 4096
-#: Up to so many questions with a filter go to the points; beyond, both are joined.
+#: Up to so many questions are sent to the points; beyond, those with a filter are joined.
 SENT = 4 * BLOCK
 SCORE_PLACES = 9
 # Largest score tile that is computed at once (points x questions).
@@ -150,10 +150,24 @@ def _unpacked(value: pa.Scalar) -> pa.Table:
 
 def _nested(questions: DataFrame, points: DataFrame, used: list[str], k: int, metric: str, hits: T.StructType) -> DataFrame:
     """Slices of points and blocks of questions meet, each with each."""
-    arrow = to_arrow_schema(hits)
+    arrow, count = to_arrow_schema(hits), questions.count()
+    points = _listed(points.select("id", "embedding", *used), questions, used)
+    blocks = _packed(questions.coalesce(1 + count // BLOCK), BLOCK, "block")
+    if count <= SENT:
+        sent = points.sparkSession.sparkContext.broadcast([bytes(r["block"]) for r in blocks.collect()])
+
+        def run_sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = [_Block(_unpacked(pa.scalar(b, pa.binary())), used, metric) for b in sent.value]
+            for batch in batches:
+                for begin in range(0, batch.num_rows, SLICE):
+                    for block in asked:
+                        yield from block.best(batch.slice(begin, SLICE), k).cast(arrow).to_batches()
+
+        return points.mapInArrow(run_sent, hits)
+
     # Written, so that Spark knows whether the blocks are small enough to send around.
-    blocks = stage(_packed(questions.coalesce(1 + questions.count() // BLOCK), BLOCK, "block"), "blocks")
-    slices = _packed(_listed(points.select("id", "embedding", *used), questions, used), SLICE, "points")
+    blocks = stage(blocks, "blocks")
+    slices = _packed(points, SLICE, "points")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None

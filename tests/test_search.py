@@ -322,3 +322,19 @@ def test_many_equal_vectors_keep_the_first_ids(spark):
     hits = top_k(questions, points, 2, carry=["text"])
     assert {(h["rank"], h["id"]) for h in hits.select("rank", "id").collect()} == {(1, "00000"), (2, "00001")}
     assert hits.count() == 400
+
+
+def test_few_questions_are_sent(spark, vectors, monkeypatch):
+    """Up to `SENT` questions, in several blocks, meet points that were never packed; more meet
+    packed slices. Both give the hits of a search by brute force."""
+    points, questions = frames(spark, vectors)
+    packed, plain = [], retrieval._packed
+    monkeypatch.setattr(retrieval, "_packed", lambda df, rows, name: (packed.append(name), plain(df, rows, name))[1])
+    monkeypatch.setattr(retrieval, "BLOCK", 5)
+    monkeypatch.setattr(retrieval, "SLICE", 40)
+    for sent, names in ((100, ["block"]), (4, ["block", "points"])):
+        monkeypatch.setattr(retrieval, "SENT", sent)
+        for metric in ("cosine", "l2"):
+            packed.clear()
+            assert ranked(top_k(questions, points, 4, metric)) == brute(vectors, 4, metric, False)
+            assert packed == names
