@@ -247,8 +247,8 @@ def test_batches_do_not_grow_with_files(spark, tmp_path):
     """The arriving documents make four batches, however many files a write is in; the counts
     and the points are those of the last version of each document."""
     rows = [(i, f"common w{i} " + "x y z " * (i % 5)) for i in range(48)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    frame.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
     collection, frequencies = _refreshed(spark, str(tmp_path))
     assert spark.read.parquet(frequencies).select("batch").distinct().count() == 4
     assert collection.properties()["deltas"] == 4
