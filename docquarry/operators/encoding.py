@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -12,22 +13,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.functions.ids import chunk_key, uuid5
-from docquarry.functions.text import terms
+from docquarry.functions.text import EDGE_SIGNS, terms
+from docquarry.functions.words import word_values
 
 # A term falls into one of 16^4 slots, by the first four digits of its MD5. The
 # document frequencies are kept per slot, so the table has this many rows at most,
 # whatever the size of the corpus and of its vocabulary.
 SLOTS = 65536
 _EVERY_CHUNK = -1
+_NO_TERM = -1
 
 
 def slot(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 4), 16, 10).cast("int")
 
 
+def _slot_of(word: str) -> int:
+    """The slot of a lower-cased word's term, `_NO_TERM` for one of edge signs only."""
+    term = word.strip(EDGE_SIGNS)
+    return int.from_bytes(md5(term.encode()).digest()[:2], "big") if term else _NO_TERM
+
+
+def _slot_lists(texts: pa.Array) -> pa.ListArray:
+    """The slots of each lower-cased text; of a null text none."""
+    ends, found = word_values(texts, _slot_of, np.int32)
+    kept = found != _NO_TERM
+    ends = np.r_[0, np.cumsum(kept)][ends]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[kept]))
+
+
 def slots(text: Column) -> Column:
-    """The slots of a text's terms, in order, with repeats."""
-    return F.transform(terms(text), slot)
+    """The slots of a text's terms, in order, with repeats: `slot` of each of its `terms`.
+
+    Words repeat, so each word of a batch is hashed once.
+    """
+    @F.arrow_udf("array<int>")
+    def lookup(texts: pa.Array) -> pa.Array:
+        return _slot_lists(texts)
+
+    return lookup(F.lower(text))
 
 
 def with_slots(df: DataFrame, text: str = "text", out: str = "slots") -> DataFrame:
@@ -46,11 +70,20 @@ def list_column(matrix: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(matrix.astype(np.float32).ravel()))
 
 
-def _hash_rows(ids: pa.ListArray, weights: np.ndarray, dim: int) -> pa.ListArray:
-    """Sum the weights of each row's slots into `dim` buckets and scale to unit length."""
+def _flat(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, slot) of all slots."""
+    lengths = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(ids)), lengths), ids.flatten().to_numpy(zero_copy_only=False)
+
+
+def _hash_rows(ids: pa.ListArray, place: pa.Array, weights: np.ndarray, dim: int) -> pa.ListArray:
+    """Sum the weights of each row's slots into `dim` buckets and scale to unit length.
+
+    `place` tells which of the stacked weight tables is a row's.
+    """
     rows = len(ids)
-    flat = ids.flatten().to_numpy(zero_copy_only=False)
-    row_of = np.repeat(np.arange(rows), ids.value_lengths().fill_null(0).to_numpy())
+    row_of, flat = _flat(ids)
+    flat = flat + place.to_numpy(zero_copy_only=False)[row_of] * SLOTS
     sums = np.bincount(
         row_of * dim + flat % dim, weights=weights[flat], minlength=rows * dim
     ).astype(np.float64).reshape(rows, dim)  # without any slot the sums are whole numbers
@@ -63,10 +96,24 @@ def slot_counts(chunks: DataFrame, by: str | None = None, text: str = "text") ->
     Counts of disjoint sets of chunks add up, so they can follow a changing collection.
     """
     group = F.col(by).cast("string") if by else F.lit(None).cast("string")
-    seen = F.array_distinct("slots" if "slots" in chunks.columns else F.transform(F.array_distinct(terms(F.col(text))), slot))
-    # Never empty, so the outer explode gives the same rows and no size filter.
-    present = F.array_append(seen, F.lit(_EVERY_CHUNK))
-    return chunks.select(group.alias("group"), F.explode_outer(present).alias("slot")).groupBy("group", "slot").count()
+    ids = F.col("slots") if "slots" in chunks.columns else slots(F.col(text))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = batch.column("group").dictionary_encode(null_encoding="encode")
+            code = groups.indices.to_numpy(zero_copy_only=False)
+            row, slot = _flat(batch.column("slots"))
+            for i in range(len(groups.dictionary)):
+                found = np.bincount(slot[code[row] == i], minlength=SLOTS)
+                some = np.flatnonzero(found)
+                yield pa.RecordBatch.from_arrays([
+                    groups.dictionary.take(pa.array(np.full(len(some) + 1, i))),
+                    pa.array(np.r_[_EVERY_CHUNK, some], pa.int32()),
+                    pa.array(np.r_[np.count_nonzero(code == i), found[some]], pa.int64())], names=["group", "slot", "count"])
+
+    # Counted batch by batch, so that not every slot of every chunk is a row.
+    counted = chunks.select(group.alias("group"), F.array_distinct(ids).alias("slots")).mapInArrow(count, "group string, slot int, count long")
+    return counted.groupBy("group", "slot").agg(F.sum("count").alias("count"))
 
 
 @dataclass
@@ -108,18 +155,17 @@ class HashedIdf:
         # The last rows are for groups without frequencies.
         table = np.vstack([self.weights[n] for n in names] + [np.ones(SLOTS)] * bool(self.by)).ravel()
         shared = df.sparkSession.sparkContext.broadcast(table)
+        place = F.lit(0)
         if self.by:
-            # Slots are moved into the rows of their group in the stacked weight table.
             place = F.coalesce(F.array_position(F.array(*map(F.lit, names)), F.col(self.by)), F.lit(0))
             place = F.when(place == 0, len(names)).otherwise(place - 1).cast("int")
-            ids = F.transform(ids, lambda s: s + place * SLOTS)
 
         @F.arrow_udf("array<float>")
-        def vectors(rows: pa.Array) -> pa.Array:
+        def vectors(rows: pa.Array, place: pa.Array) -> pa.Array:
             # The table's width is a multiple of `dim`, so buckets are unchanged.
-            return _hash_rows(rows, shared.value, dim)
+            return _hash_rows(rows, place, shared.value, dim)
 
-        return df.withColumn(out, vectors(ids))
+        return df.withColumn(out, vectors(ids, place))
 
 
 @dataclass
