@@ -209,11 +209,15 @@ def _joined(questions: DataFrame, points: DataFrame, used: list[str], k: int, me
 
 
 def _listed(points: DataFrame, values: DataFrame, used: list[str]) -> DataFrame:
-    """The points, with a predicate for the scan on columns that few values are asked of."""
+    """The points of the values asked for: by a predicate for the scan where they are few, else by
+    a semi-join, which Spark moves before the encoder as well."""
     for name in used:
-        few = [r[0] for r in values.select(name).distinct().limit(_LISTED + 1).collect()]
+        wanted = values.select(name).distinct()
+        few = [r[0] for r in wanted.limit(_LISTED + 1).collect()]
         if len(few) <= _LISTED:
             points = points.filter(F.col(name).isin(sorted(few)))
+        else:
+            points = points.join(wanted, name, "left_semi")
     return points
 
 

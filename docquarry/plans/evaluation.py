@@ -164,7 +164,7 @@ SELECT count(*) AS total_samples, round(avg(top1), 6) AS top1_accuracy,
 def m3_own_file(spark, sf_dir):
     """Match = the hit's chunk, out of the sample's own file, holds the whole passage."""
     ask = stage(samples(spark, sf_dir), "samples")
-    hits = filtered_hits(spark, sf_dir).join(ask.select("query_id", "question"), "query_id")
+    hits = filtered_hits(spark, sf_dir, asked=ask).join(ask.select("query_id", "question"), "query_id")
     matches = hits.withColumn("match", F.contains("text", "question"))
     return round_measures(report(per_question(ask.select("query_id"), matches, ["query_id"]), []))
 
@@ -221,8 +221,9 @@ SELECT count(*) AS total_samples, round(avg(coalesce(top1, 0)), 6) AS top1_accur
 FROM (SELECT query_id || '@' || source_file AS query_id FROM gold) LEFT JOIN judged USING (query_id)""")
 def m7_own_file(spark, sf_dir):
     """The report over samples that each look only into their own document."""
-    hits = stage(filtered_hits(spark, sf_dir), "hits")
-    return round_measures(evaluate_retrieval(samples(spark, sf_dir), hits))
+    ask = stage(samples(spark, sf_dir), "samples")
+    hits = stage(filtered_hits(spark, sf_dir, asked=ask), "hits")
+    return round_measures(evaluate_retrieval(ask, hits))
 
 
 CONFIGS = [SMALL, COMPARED[0], ChunkConfig("words_512_52", 512, 52)]

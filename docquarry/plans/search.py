@@ -125,10 +125,10 @@ def samples(spark, sf_dir):
     )
 
 
-def filtered_hits(spark, sf_dir, k=5):
+def filtered_hits(spark, sf_dir, k=5, asked=None):
     """Every sample against the chunks of its own document."""
     encoder, points = indexed(spark, sf_dir)
-    ask = encoder.encode(samples(spark, sf_dir), "question")
+    ask = encoder.encode(asked or samples(spark, sf_dir), "question")
     return top_k(ask, points, k, filters=["source_file"], carry=["source_file", "text"])
 
 
