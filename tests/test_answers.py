@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators.answer_metrics import judged, leaderboard, long_form, score_answers
+from docquarry.operators import evalset
 from docquarry.operators.evalset import (
     containing_files, document_heads, document_texts, first_samples, native_qa_output, parse_qa, qa_prompts, sample_files,
 )
@@ -152,6 +153,24 @@ def test_short_passages_are_whole_words(spark):
     assert found == {(1, "a"), (2, "a"), (2, "d"), (5, "a"), (6, "a"), (6, "b")}
 
 
+def test_passages_are_looked_up_without_a_row_per_run(spark, monkeypatch, capsys):
+    """Only runs that a passage may have become rows; repeated and null rows count as before."""
+    monkeypatch.setattr(evalset, "stage", lambda df, name: df.persist() if name == "looked-up" else df)
+    words = [f"w{i}" for i in range(60)]
+    documents = [("a", " ".join(words)), ("a", " ".join(words)), ("b", None), ("c", " ".join(words[9:])), ("c", "")]
+    passages = [(i, " ".join(words[i:i + 12])) for i in range(0, 48, 6)]
+    d = spark.createDataFrame(documents, "source_file string, text string")
+    found = containing_files(spark.createDataFrame(passages, "query_id int, text string"), d)
+    # Two rows of one name meet each other, as a join by name does.
+    expected = {(i, "a"): 4 for i, _ in passages} | {(i, "c"): 1 for i, _ in passages if i >= 9}
+    counted = {}
+    for r in found.collect():
+        counted[tuple(r)] = counted.get(tuple(r), 0) + 1
+    assert counted == expected
+    found.explain()
+    assert "xxhash64" not in capsys.readouterr().out
+
+
 def test_generator_stops_when_the_service_is_down(spark):
     def load():
         def call(prompt, temperature, max_tokens):

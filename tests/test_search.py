@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from docquarry.functions.text import terms
 from docquarry.operators import quantised, retrieval
 from docquarry.operators.cells import Cells, approximate_top_k, enough_probes, read_cells, recall, recall_by_probes
-from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points, with_slots
+from docquarry.operators.encoding import HashedIdf, UserEncoder, slot, slot_counts, to_points, with_slots
 from docquarry.operators.retrieval import drop_empty_hits, hits_as_array, top_k, top_k_single
+from docquarry.plans import catalog, search
 from docquarry.session import stage
 
 
@@ -338,3 +340,51 @@ def test_few_questions_are_sent(spark, vectors, monkeypatch):
             packed.clear()
             assert ranked(top_k(questions, points, 4, metric)) == brute(vectors, 4, metric, False)
             assert packed == names
+
+
+_ODD_TEXTS = ["Alpha beta\talpha ALPHA. ", None, "", "   ", "(x) x\x1cx\x85y　ΟΔΟΣ ΟΔΟΣ.", "... [a] \"\" a\n\nb"]
+
+
+def test_slots_are_those_of_the_terms(spark, capsys):
+    """The same slots as the native expressions give, without hashing each word in one."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(_ODD_TEXTS)], "i int, text string").repartition(1)
+    rows = with_slots(df).withColumn("native", F.transform(terms(F.col("text")), slot)).collect()
+    assert len(rows) == len(_ODD_TEXTS) and all(r.slots == r.native for r in rows)
+    with_slots(df).explain()
+    assert "md5" not in capsys.readouterr().out
+
+
+def test_slots_are_counted_by_batch(spark, capsys):
+    """One row per slot and batch, not per slot and chunk; null groups count as one."""
+    df = spark.createDataFrame(
+        [(["a", "b", None][i % 3], t) for i, t in enumerate(_ODD_TEXTS * 2)], "config string, text string")
+    counts = slot_counts(with_slots(df), by="config")
+    counts.explain()
+    assert "Generate" not in capsys.readouterr().out
+    expected = {}
+    for r in df.withColumn("s", F.transform(terms(F.col("text")), slot)).collect():
+        for s in {*r.s, -1}:
+            expected[r.config, s] = expected.get((r.config, s), 0) + 1
+    assert {(r["group"], r["slot"]): r["count"] for r in counts.collect()} == expected
+
+
+def test_slots_are_not_moved_one_by_one(spark, capsys):
+    df = with_slots(spark.createDataFrame([("a", "x y"), ("b", "x")], "config string, text string"))
+    HashedIdf(by="config").fit(df).encode(df).explain()
+    assert "lambda" not in capsys.readouterr().out
+
+
+def test_many_values_prune_the_points_before_the_search(spark, vectors, monkeypatch, capsys):
+    monkeypatch.setattr(retrieval, "_LISTED", 1)
+    p, q = frames(spark, vectors)
+    top_k(q.filter("source_file IS NOT NULL"), p, 5, filters=["source_file"]).explain()
+    assert "LeftSemi" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", ["m3_m5_own_file", "m7_report_own_file"])
+def test_samples_are_made_once(spark, sf, monkeypatch, name):
+    """The documents are looked through for passages once, not again by each step that uses them."""
+    made, gold = [], search.gold
+    monkeypatch.setattr(search, "gold", lambda *a: made.append(a) or gold(*a))
+    assert catalog.QUERIES[name](spark, sf).count() == 1
+    assert len(made) == 1
