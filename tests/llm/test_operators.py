@@ -11,7 +11,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from docquarry.llm import decontamination, kneser_ney, language_id, packing, pii, quality_rules, simhash
+from docquarry.llm import decontamination, kneser_ney, language_id, packing, pii, quality_rules, simhash, substring_dedup
 from docquarry.llm import license_scan as license_templates
 from docquarry.llm.license_scan import license_scan
 from docquarry.llm.queries import QUERIES, SQL, tokenizer_path
@@ -286,6 +286,60 @@ def test_repeats(spark, docs, awkward):
     assert sorted((r["n_bytes"], r["n_removed"], len(r["removed"]), r["kept_sha256"]) for r in found) == expected
 
 
+def plain_repeats(texts, n=400):
+    """(n_bytes, spans) of each text, by counting all n-byte strings."""
+    seen = Counter(t[i:i + n] for t in texts for i in range(len(t) - n + 1))
+    out = []
+    for t in texts:
+        spans = []
+        for i in range(len(t) - n + 1):
+            if seen[t[i:i + n]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1] = (spans[-1][0], i + n)
+                else:
+                    spans.append((i, i + n))
+        out.append((len(t), spans))
+    return sorted(out)
+
+
+def test_repeats_at_the_ends_of_runs(spark):
+    """Passages of 399 to 900 bytes between different neighbours, at a text's start and end,
+    in two and more texts, twice in one text, and with one byte changed."""
+    rng = np.random.default_rng(5)
+    noise = lambda n: bytes(rng.integers(97, 101, n).astype("u1")).decode()
+    made = []
+    for n in (399, 400, 401, 407, 414, 415, 416, 430, 500, 650, 900):
+        p = noise(n)
+        made += [noise(3) + p + noise(700), p + noise(30), noise(500) + p, noise(90) + p + noise(60) + p[:-1], p[1:] + noise(9)]
+        made += [noise(40) + p[:n // 2] + "z" + p[n // 2 + 1:] + noise(40)]
+    made += ["ab" * 450 + noise(100), noise(20) + "ab" * 300, "abc" * 200, noise(5000), noise(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string").repartition(5)
+    found = repeated_strings(docs).collect()
+    expected = plain_repeats([t.encode() for t in made])
+    assert sorted((r["n_bytes"], [(s["start"], s["end"]) for s in r["removed"]]) for r in found) == expected
+    assert sum(len(s) for _, s in expected) > 40
+
+
+def test_repeats_name_runs(spark, monkeypatch):
+    """Long passages in two texts each cost a few bytes of names per byte, not a name per start."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    noise = lambda n: bytes(rng.integers(97, 123, n).astype("u1")).decode()
+    made = [noise(200) + p + noise(200) for p in (noise(30_000) for _ in range(20)) for _ in "ab"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    sizes = []
+    for name in ("_repeated", "_judged"):
+        def spy(packed, then=getattr(substring_dedup, name, None)):
+            sizes.append(packed.agg(F.sum(F.octet_length("once") + F.octet_length("more"))).first()[0])
+            return then(packed)
+
+        monkeypatch.setattr(substring_dedup, name, spy, raising=False)
+    found = repeated_strings(docs).collect()
+    assert all(30_000 <= r["n_removed"] < 30_010 for r in found) and len(found) == 40
+    assert 0 < sum(sizes) < 3 * sum(map(len, made))
+
+
 def test_difference_covers():
     for r in (1, 2, 3):
         period, cover = difference_cover(r)
