@@ -320,6 +320,26 @@ def test_repeats_at_the_ends_of_runs(spark):
     assert sum(len(s) for _, s in expected) > 40
 
 
+def test_repeats_show_which_passages_went(spark, tmp_path):
+    """The 400 bytes decide, not the words: cut by its spans, a text loses a passage of 60 long
+    words and keeps one of 60 short ones; n_bytes tells neither."""
+    rng = np.random.default_rng(7)
+    words = lambda n, size: " ".join(bytes(rng.integers(97, 123, size).astype("u1")).decode() for _ in range(n))
+    long, short, line = words(60, 9), words(60, 5), words(2, 210)
+    made = [f"é {words(30, 6)} {p} {words(20, 6)} ß" for p in (long, long, short, short, line, line)] + [words(80, 8), words(70, 8), None]
+    spark.createDataFrame([*enumerate(made)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op9_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert len(short) < 400 < len(line) < len(long) and len(rows) == len(made)
+    for i, text in enumerate(made):
+        r, octets = rows[i], (text or "").encode()
+        spans = [tuple(map(int, s.split(":"))) for s in r["spans"].split(",") if s]
+        kept = b"".join(octets[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(octets)]))
+        assert r["n_bytes"] == len(octets) and r["n_spans"] == len(spans) and r["n_removed"] == len(octets) - len(kept)
+        assert hashlib.sha256(kept).hexdigest() == r["kept_sha256"]
+        assert not any(p.encode() in kept for p in (long, line)) and (short.encode() in kept) == (i in (2, 3))
+        assert (len(spans) > 0) == (i in (0, 1, 4, 5))
+
+
 def test_repeats_name_runs(spark, monkeypatch):
     """Long passages in two texts each cost a few bytes of names per byte, not a name per start."""
     from pyspark.sql import functions as F
