@@ -27,8 +27,10 @@ def _refreshed(spark, sf_dir):
     collection = Collection(spark, scratch_path(spark, "collections"), "documents").create(encoder.dim)
     frequencies = scratch_path(spark, "frequencies")
     for write in [*(docs.filter(F.col("doc_id") % 3 == part) for part in range(3)), half]:
-        write.drop("doc_id").write.mode("append").parquet(folder)
-        arriving = spark.readStream.schema("source_file string, text string").option("maxBytesPerTrigger", _BATCH_BYTES).parquet(folder)
+        write.drop("doc_id").write.mode("append").option("compression", "zstd").parquet(folder)
+        # Files go once their batch is done; the documents themselves stay where they came from.
+        options = {"maxBytesPerTrigger": _BATCH_BYTES, "cleanSource": "delete"}
+        arriving = spark.readStream.schema("source_file string, text string").options(**options).parquet(folder)
         refresh(arriving, collection, encoder, SMALL, stream, frequencies=frequencies).awaitTermination()
     return collection, frequencies
 

@@ -1,10 +1,12 @@
 """Keyed vector collections: Parquet deltas plus a small append-only log.
 
-An upsert writes its own points, once each, as one delta, then appends one log row; that
-append is what makes the new version visible. A job that dies before it leaves the old
+An upsert writes its own points as one delta (again, once each, if an id comes twice among
+them), then appends one log row; that append is what makes the new version visible. A job that dies before it leaves the old
 version in place. A read takes the newest row of each id: rows of the base whose id comes
 again in a delta are left out (an anti-join with the deltas' ids), and among deltas the
-latest version counts, so a read pays for the deltas, not for the base again. `compact`
+latest version counts, so a read pays for the deltas, not for the base again. Rows of ids and
+sources that are in one delta only, told by tables of fixed size, are not shuffled for that:
+a read first looks through the ids and sources, in jobs of its own. `compact`
 turns what is read into the new base; call it when the deltas have grown to a good part
 of the base. One writer per collection at a time. Where a table format with row-level
 updates is installed, `MERGE INTO` can replace `upsert`.
@@ -13,13 +15,18 @@ updates is installed, `MERGE INTO` can replace `upsert`.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.functions.places import by_places, places
+from docquarry.session import remove
+
 METRICS = ("cosine", "l2")
 _VERSION, _GONE = "collection_version", "collection_gone"
 _LOG = "version int, kind string, path string, dim int, metric string"
@@ -146,24 +153,29 @@ class Collection:
         deltas = [self._load(version, path) for version, path, _ in state.deltas]
         if base is None and not deltas:
             raise ValueError(f"collection {self.name} holds no points")
-        replaced = [d.select("source_file", _VERSION) for d, (_, _, all_of_it) in zip(deltas, state.deltas) if all_of_it]
+        replacing = [all_of_it for _, _, all_of_it in state.deltas]
+        gone = _gone(base, deltas, replacing) if any(replacing) else None
+        if columns:
+            # A replaced row is told by its source.
+            needed = [*dict.fromkeys([*columns, *(["source_file"] if gone else [])]), _VERSION]
+            loaded = [*dict.fromkeys([*needed, *(only.columns if only is not None else [])])]
+            base, deltas = base and base.select(loaded), [d.select(loaded) for d in deltas]
+        changed = reduce(DataFrame.unionByName, deltas) if deltas else None
         if only is not None:
             keys = only.distinct()
-            base, deltas = base and base.join(keys, keys.columns, "left_semi"), [d.join(keys, keys.columns, "left_semi") for d in deltas]
+            base, changed = (rows and _having(rows, keys) for rows in (base, changed))
         if columns:
-            # A replaced row is told by its source.
-            needed = [*dict.fromkeys([*columns, *(["source_file"] if replaced else [])]), _VERSION]
-            base, deltas = base and base.select(needed), [d.select(needed) for d in deltas]
-        if not deltas:
+            base, changed = (rows and rows.select(needed) for rows in (base, changed))
+        if changed is None:
             return base.drop(_VERSION)
-        changed = reduce(DataFrame.unionByName, deltas)
-        if replaced:
-            gone = reduce(DataFrame.unionByName, replaced).groupBy("source_file").agg(F.max(_VERSION).alias(_GONE))
-            changed, base = (rows and _without(rows, gone) for rows in (changed, base))
-        newest = last_write(changed, F.col(_VERSION))
+        newest = changed
+        if gone:
+            at = places(gone, F.xxhash64("source_file"))
+            newest, base = (rows and _without(rows, gone, at) for rows in (newest, base))
+        if len(deltas) > 1:
+            newest = _last_version(newest)
         if base is not None:
-            ids = reduce(DataFrame.unionByName, [d.select("id") for d in deltas]).distinct()
-            newest = base.join(ids, "id", "left_anti").unionByName(newest)
+            newest = base.join(changed.select("id").distinct(), "id", "left_anti").unionByName(newest)
         return newest.drop(_VERSION)
 
     def upsert(
@@ -173,21 +185,42 @@ class Collection:
         which row of an id is the newest; without it, one of them is kept. With
         `replace_sources`, earlier points of a source that comes again no longer count."""
         state = self._known()
-        # One row per id is stored; without an order, equal inputs still give equal results.
-        points = last_write(points, F.xxhash64(*points.columns) if order is None else order)
-        points = points.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))
-        path = f"{self.folder}/points-{uuid.uuid4().hex}"
-        points.write.parquet(path)
+        checked = lambda rows: rows.withColumn("embedding", check_dimension(F.col("embedding"), state.dim))
+        if order is None:
+            path = self._write_once(points, state.dim, checked)
+        else:
+            path = self._write(checked(last_write(points, order)))
         if not self.spark.read.schema(points.schema).parquet(path).isEmpty():
             self._append(state.version + 1, "replace" if replace_sources else "delta", path, state.dim, state.metric)
         return self
 
+    def _write(self, points: DataFrame) -> str:
+        path = f"{self.folder}/points-{uuid.uuid4().hex}"
+        # A vector's numbers hardly repeat, so a dictionary would only be written beside them.
+        points.write.option("compression", "zstd").option("parquet.enable.dictionary#embedding.list.element", "false").parquet(path)
+        return path
+
+    def _write_once(self, points: DataFrame, dim: int, checked: Callable[[DataFrame], DataFrame]) -> str:
+        """The path of the points, one row per id. They are written as they come; only if an id
+        comes twice, which hashes of the ids tell, they are written again without its other rows."""
+        seen = Observation("dimensions")
+        wrong = F.count_if(~F.size("embedding").eqNullSafe(F.lit(dim)))
+        path = self._write(points.observe(seen, wrong.alias("wrong")))
+        written = self.spark.read.schema(points.schema).parquet(path)
+        identity = F.xxhash64("id")
+        twice = places(written.groupBy(identity.alias("hash")).count().filter("count > 1"), F.col("hash"))
+        if twice.num_rows or seen.get.get("wrong") != 0:
+            # Without an order, equal inputs still give equal results.
+            single, repeated = by_places(written, twice, identity)
+            path, first = self._write(checked(single.unionByName(last_write(repeated, F.xxhash64(*points.columns))))), path
+            remove(self.spark, first)
+        return path
+
     def compact(self) -> "Collection":
         """Write what is read now as the new base, so that reads stop paying for deltas."""
         state = self._known()
         if state.deltas:
-            path = f"{self.folder}/points-{uuid.uuid4().hex}"
-            self.read().write.parquet(path)
+            path = self._write(self.read())
             self._append(state.version + 1, "base", path, state.dim, state.metric)
         return self
 
@@ -200,7 +233,38 @@ class Collection:
         return reduce(DataFrame.unionByName, counts, empty)
 
 
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows whose source was not replaced after their version."""
-    later = (rows["source_file"] == gone["source_file"]) & (rows[_VERSION] < gone[_GONE])
-    return rows.join(gone, later, "left_anti")
+def _having(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows with one of the keys. The keys that there are say where such rows may be, so the
+    join moves few others."""
+    hashed = F.xxhash64(*keys.columns)
+    found = rows.select(*keys.columns).distinct().join(keys, keys.columns, "left_semi")
+    _, some = by_places(rows, places(found, hashed), hashed)
+    return some.join(keys, keys.columns, "left_semi")
+
+
+def _gone(base: DataFrame | None, deltas: list[DataFrame], replacing: list[bool]) -> DataFrame:
+    """(source_file, version): the sources with rows from before they were last replaced, and when that was."""
+    versions = [d.select("source_file", _VERSION, (F.col(_VERSION) if all_of_it else F.lit(None).cast("int")).alias(_GONE))
+                for d, all_of_it in [*zip(deltas, replacing), *([(base, False)] if base else [])]]
+    last = reduce(DataFrame.unionByName, versions).groupBy("source_file").agg(F.min(_VERSION).alias("first"), F.max(_GONE).alias(_GONE))
+    return last.filter(F.col("first") < F.col(_GONE)).select("source_file", _GONE)
+
+
+def _without(rows: DataFrame, gone: DataFrame, at: pa.Table) -> DataFrame:
+    """The rows whose source was not replaced after their version; those of other sources stay where they lie."""
+    if not at.num_rows:
+        return rows
+    kept, some = by_places(rows, at, F.xxhash64("source_file"))
+    later = (some["source_file"] == gone["source_file"]) & (some[_VERSION] < gone[_GONE])
+    return kept.unionByName(some.join(gone, later, "left_anti"))
+
+
+def _last_version(rows: DataFrame) -> DataFrame:
+    """The newest row of each id; an id is in a version once. Only ids of several versions are looked through."""
+    identity = F.xxhash64("id")
+    versions = rows.groupBy(identity.alias("hash")).agg(F.min(_VERSION).alias("first"), F.max(_VERSION).alias("last"))
+    several = places(versions.filter("first < last"), F.col("hash"))
+    if not several.num_rows:
+        return rows
+    once, some = by_places(rows, several, identity)
+    return once.unionByName(last_write(some, F.col(_VERSION)))

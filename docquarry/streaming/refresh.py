@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docquarry.operators.chunking import ChunkConfig, chunk_documents
 from docquarry.operators.encoding import HashedIdf, UserEncoder, slot_counts, to_points, with_slots
-from docquarry.session import stage
+from docquarry.session import stage, while_staged
 from docquarry.sources.collections import Collection, last_write
 from docquarry.sources.stages import append_progress
 
@@ -31,7 +31,7 @@ def refresh(
     The upsert is keyed, so a batch that is delivered again after a failure changes
     nothing. How many batches there are is the stream's affair: each one reads the sources
     of all points once, so bound a batch by bytes rather than by files. `newest` names a column that says which version of a document in one
-    batch is the latest. There is no event time, so no watermark is needed.
+    batch is the latest. What a batch stages is deleted when its points are written. There is no event time, so no watermark is needed.
 
     With `frequencies`, a table of slot counts follows the collection: each batch appends
     the counts of its chunks, less those of the chunks it replaces. A batch's counts are
@@ -43,11 +43,11 @@ def refresh(
             batch = last_write(batch, F.col(newest), key="source_file")
         cut = chunk_documents(batch, F.col("source_file"), F.col("text"), [config])
         # Terms are hashed once, for the counts and for the vectors.
-        cut = stage(with_slots(cut) if isinstance(encoder, HashedIdf) or frequencies else cut, "arrived")
-        if frequencies:
-            _follow(cut, collection, frequencies, number, replace_sources)
-        points = to_points(encoder.encode(cut)).drop("config")
-        collection.upsert(points, replace_sources=replace_sources)
+        with while_staged(with_slots(cut) if isinstance(encoder, HashedIdf) or frequencies else cut, "arrived") as cut:
+            if frequencies:
+                _follow(cut, collection, frequencies, number, replace_sources)
+            points = to_points(encoder.encode(cut)).drop("config")
+            collection.upsert(points, replace_sources=replace_sources)
 
     return (
         arriving.writeStream.foreachBatch(apply)

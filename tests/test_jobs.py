@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -258,6 +259,21 @@ def test_batches_do_not_grow_with_files(spark, tmp_path):
     assert {(r["slot"], r["count"]) for r in current_counts(spark, frequencies).collect()} == fresh
 
 
+def test_batches_leave_their_points_only(spark, tmp_path):
+    """What a batch stages, and the files that came before the last write, are gone when the stream
+    ends; the points are stored without the rows of their batch being shuffled."""
+    rows = [(i, f"common w{i} " + "x y z " * (i % 5), "en", "s") for i in range(48)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    own = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(own.iterdir())
+    collection, _ = _refreshed(spark, str(tmp_path))
+    left = {p.name.split("-")[0]: p for p in set(own.iterdir()) - before}
+    assert set(left) == {"arriving", "stream", "collections", "frequencies"}
+    assert spark.read.schema("source_file string").parquet(str(left["arriving"])).count() < 16
+    assert all(".zstd." in p.name for p in left["collections"].glob("*/points-*/*.parquet"))
+    assert collection.read().select("source_file").distinct().count() == 48
+
+
 def test_read_of_some_sources(spark):
     """Points of some sources, with some columns: the newest of each id, without replaced ones."""
     collection = Collection(spark, scratch_path(spark, "some"), "s").create(1)

@@ -1,9 +1,11 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from docquarry.functions.places import by_places, places
 from docquarry.operators.elements import (
     clean_elements, convert_tables, normalize_elements, prepare_elements, split_failures, stage_counters,
 )
@@ -234,6 +236,52 @@ def test_wrong_dimension_leaves_the_collection_alone(spark):
     assert values(collection) == {"a1": 1}
 
 
+def test_ids_that_come_twice_in_a_batch(spark):
+    """One row of an id is stored, a null id among them, the one of the greatest hash; a row that is left out may be of any length."""
+    schema = "id string, embedding array<float>, source_file string, at int"
+    rows = [("a1", [1.0, 2.0], "a", 1), ("a1", [1.0, 2.0], "a", 1), ("a2", [3.0, 0.0], "a", 1), ("a2", [4.0, 0.0], "a", 2),
+            (None, [5.0, 0.0], "n", 1), (None, [6.0, 0.0], "n", 2), ("b1", [7.0, 0.0], None, 1)]
+    short = spark.createDataFrame([("c", [1.0, 0.0], "c", 0)] + [("c", [1.0], "c", i) for i in range(1, 20)], schema)
+    first = short.orderBy(F.xxhash64(*short.columns)).collect()
+    longest = next(i for i, r in enumerate(first) if len(r.embedding) == 2)
+    rows += [tuple(r) for r in first[:longest + 1]]
+    frame = spark.createDataFrame(rows, schema)
+    collection = Collection(spark, scratch_path(spark, "collections"), "twice").create(2).upsert(frame)
+    expected = sorted(map(str, last_write(frame, F.xxhash64(*frame.columns)).collect()))
+    assert sorted(map(str, collection.read().collect())) == expected and len(expected) == 5
+    assert len(list(Path(collection.folder.removeprefix("file:")).glob("points-*"))) == 1
+    worse = spark.createDataFrame([("c", [1.0], "c", i) for i in range(2)], schema)
+    with pytest.raises(Exception, match="expected 2 dimensions, found 1"):
+        collection.upsert(worse)
+    assert sorted(map(str, collection.read().collect())) == expected
+
+
+def test_points_in_one_delta_are_not_shuffled(spark):
+    """Points are moved for a read only if their id or their source may have come again."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    new = lambda name: Collection(spark, scratch_path(spark, "collections"), name).create(2)
+    collection = new("one").upsert(points(spark, [("a1", 1, 1), ("a2", 2, 1)])).upsert(points(spark, [("b1", 3, 1)]), replace_sources=True)
+    assert "Exchange" not in plan(collection.read()) and values(collection) == {"a1": 1, "a2": 2, "b1": 3}
+    collection.upsert(points(spark, [("a3", 4, 1), ("b2", 5, 1)])).upsert(points(spark, [("a1", 6, 1)]), replace_sources=True)
+    collection.upsert(points(spark, [("b2", 7, 1)]))
+    for value in (8, 9):
+        collection.upsert(points(spark, [("n", value, 1)]).withColumn("id", F.lit(None).cast("string")))
+    assert values(collection) == {"a1": 6, "b1": 3, "b2": 7, None: 9}
+
+
+def test_places(spark):
+    """Every row with a key is among those that may have one; nearly no other row is."""
+    rows = spark.range(20000).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("key"))
+    keys = rows.filter("key % 97 = 0 OR key IS NULL")
+    held = places(keys, F.xxhash64("key"))
+    without, some = by_places(rows, held, F.xxhash64("key"))
+    assert held.num_rows <= 131072 and some.columns == rows.columns
+    assert without.count() + some.count() == 20000 and some.filter("key % 97 = 0 OR key IS NULL").count() == keys.count() == 207
+    assert some.count() < 230
+    nothing = places(keys.limit(0), F.xxhash64("key"))
+    assert [part.count() for part in by_places(rows, nothing, F.xxhash64("key"))] == [20000, 0]
+
+
 def test_last_write(spark):
     rows = [("a", 1, 1), ("a", 9, 3), ("a", 5, 2), ("b", 2, 1)]
     assert {(r.id, r.embedding[0]) for r in last_write(points(spark, rows), F.col("at")).collect()} == {("a", 9), ("b", 2)}
