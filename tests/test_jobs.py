@@ -265,7 +265,7 @@ def test_batches_leave_their_points_only(spark, tmp_path):
     rows = [(i, f"common w{i} " + "x y z " * (i % 5), "en", "s") for i in range(48)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     own = Path(scratch_path(spark, "x").removeprefix("file:")).parent
-    before = set(own.iterdir())
+    before = set(own.iterdir()) if own.exists() else set()
     collection, _ = _refreshed(spark, str(tmp_path))
     left = {p.name.split("-")[0]: p for p in set(own.iterdir()) - before}
     assert set(left) == {"arriving", "stream", "collections", "frequencies"}
